@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tessella.llm import budget, documented, mix, split, tokens
+from tessella.llm import budget, documented, mix, spans, split, tokens
 from tessella.spark_util import table
 
 
@@ -12,6 +12,8 @@ def queries() -> dict:
         "p3_token_counts": lambda s, d: budget.count_documents(table(s, d, "documents")),
         "p3_budget": lambda s, d: budget.budget(table(s, d, "documents")),
         "p3_item_budget": lambda s, d: budget.item_budget(table(s, d, "pack_item")),
+        "p4_found": spans.found,
+        "p4_shared_parts": spans.parts,
         "p5_found": lambda s, d: documented.found(table(s, d, "src_file")),
         "p5_functions": lambda s, d: documented.documented_pairs(table(s, d, "src_file")),
         "p6_ids": lambda s, d: tokens.encode_documents(table(s, d, "documents"), "doc_id", "text"),
