@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from tessella.llm import budget, documented, mix, spans, split, tokens
+from tessella.llm import budget, documented, handwritten, mix, spans, split, tokens
 from tessella.spark_util import table
 
 
 def queries() -> dict:
     """Each takes (spark, folder of tables) and works on whole tables."""
     return {
+        "p2_found": lambda s, d: handwritten.found(table(s, d, "src_file")),
+        "p2_kinds": lambda s, d: handwritten.classify(table(s, d, "src_file")),
         "p3_token_counts": lambda s, d: budget.count_documents(table(s, d, "documents")),
         "p3_budget": lambda s, d: budget.budget(table(s, d, "documents")),
         "p3_item_budget": lambda s, d: budget.item_budget(table(s, d, "pack_item")),
