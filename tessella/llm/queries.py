@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from tessella.llm import budget, documented, handwritten, mix, spans, split, tokens
+from tessella.llm import budget, documented, handwritten, mix, packing, spans, split, tokens
 from tessella.spark_util import table
 
 
 def queries() -> dict:
     """Each takes (spark, folder of tables) and works on whole tables."""
     return {
+        "p1_pack": lambda s, d: packing.pack(table(s, d, "pack_item"), table(s, d, "size_limit")),
+        "p1_containers": lambda s, d: packing.containers(table(s, d, "pack_item"), table(s, d, "size_limit")),
+        "p1_fill": lambda s, d: packing.fill_report(table(s, d, "pack_item"), table(s, d, "size_limit")),
         "p2_found": lambda s, d: handwritten.found(table(s, d, "src_file")),
         "p2_kinds": lambda s, d: handwritten.classify(table(s, d, "src_file")),
         "p3_token_counts": lambda s, d: budget.count_documents(table(s, d, "documents")),
