@@ -7,16 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessella.plans import relational_queries, text_queries
 from tessella.spark_util import table
 
+_MODULES = (text_queries, relational_queries)
+
 
 def flagship(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "src_file").groupBy("crate").agg(F.count(F.lit(1)).alias("n_files"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+    return {name: query for module in _MODULES for name, query in module.QUERIES.items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {name: sql for module in _MODULES for name, sql in module.SQL.items()}
