@@ -28,6 +28,8 @@ GRAM = 72
 #: Hashes held by more windows than this aren't paired; their spans are found by equal spans of the full length.
 CROWD = 48
 PLACE_BITS = 28
+#: Text hashed at a time in one Python worker (a longer text is hashed whole).
+SLICE_BYTES = 1_000_000
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
 
@@ -111,7 +113,7 @@ def window_rows(recs: DataFrame, least: int = LEAST, gram: int = GRAM) -> DataFr
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             at = 0
-            for texts in slices(batch.column(2)):
+            for texts in slices(batch.column(2), SLICE_BYTES):
                 number, place, hashes, left, right = compact_windows(*code_points(texts), least, gram)
                 rows = pa.array(number + at)
                 yield pa.RecordBatch.from_arrays(
