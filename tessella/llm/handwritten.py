@@ -53,6 +53,7 @@ _LITERAL = re.compile(r'"(?:[^"\\]|\\.)*"|\'(?:[^\'\\\n]|\\.)*\'|(?<!\w)-?(?:0x[
 _WORD = re.compile(r"[^\W\d]\w*")
 #: Words that code has and blocks of data have not.
 _STATEMENTS = frozenset("fn def function return if else for while loop match class struct enum impl trait use import mod macro_rules create select update new async await lambda".split())
+_DEFINITION = re.compile(r"^[ \t]*(?:pub(?:\([^)\n]*\))? |export |async |unsafe |const )*(?:fn|def|function|class|struct|enum|impl|trait)[ <]", re.M)
 _COMMENT_START = re.compile(_COMMENT)
 
 
@@ -77,6 +78,8 @@ def outer_comments(code: str) -> tuple[str, str]:
 
 def is_data(code: str) -> bool:
     """Whether code is nothing but a block of literals or of delimited rows."""
+    if _DEFINITION.search(code):
+        return False
     body = "\n".join(x for x in code.split("\n") if x.strip() and not _COMMENT_START.match(x.strip()))
     rest, count = _LITERAL.subn(" ", body)
     names = set(_WORD.findall(rest))
@@ -94,8 +97,11 @@ def is_data(code: str) -> bool:
 
 def masked(path: str, code: str) -> tuple[bytes, list[str]]:
     """Code and path components without their giveaways."""
+    before, behind = outer_comments(code)
+    body = code[len(before) : len(code) - len(behind)] if before or behind else code
     for pattern in (_TOOL, _IMPORTED, _HOLDER):
-        code = pattern.sub("", code)
+        before, behind = pattern.sub("", before), pattern.sub("", behind)
+    code = before + body + behind
     for pattern in (_VENDOR_PATH, _TOOL_PATH, _MINIFIED_PATH):
         path = pattern.sub("/", path)
     *folders, name = [x for x in path.split("/") if x] or [""]
@@ -186,7 +192,7 @@ def _sample(files: DataFrame, signs: DataFrame) -> DataFrame:
         chosen = chosen.unionByName(marks.where(kind).orderBy("_r").limit(SAMPLE_PER_KIND))
     chosen = chosen.dropDuplicates(["file_id"]).drop("_r")
     code = files.where("code is not null").select(F.col("file_id").cast("long"), "file_path", "code")
-    return code.join(F.broadcast(chosen), "file_id").dropDuplicates(["file_id"])
+    return code.join(F.broadcast(chosen), "file_id")
 
 
 def train(files: DataFrame, signs: DataFrame, iterations: int = 20, regularisation: float = 1e-4) -> Classifiers:
@@ -260,7 +266,7 @@ def classify(files: DataFrame) -> DataFrame:
     and spaces, at least ``COPY_CHARS`` characters) equals a vendored file's is a
     copy of it; equal files without a vendored one among them are the project's own.
     """
-    signs = cut(with_foreign_holders(giveaways(files)))
+    signs = cut(with_foreign_holders(cut(giveaways(files))))
     model = train(files, signs)
     copied = signs.where("vendored and print is not null and not generated and not data").select("print").distinct().withColumn("_copy", F.lit(True))
     per_file = signs.join(copied, "print", "left").groupBy("file_id").agg(*[F.bool_or(k).alias(k) for k in KINDS], F.bool_or(F.coalesce("_copy", F.lit(False))).alias("_copy"))
