@@ -16,9 +16,11 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.ml.classification import LinearSVC
-from pyspark.ml.linalg import SparseVector, VectorUDT
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, StructField, StructType
 
 from tessella.spark_util import cut
 
@@ -206,18 +208,22 @@ def train(files: DataFrame, signs: DataFrame, iterations: int = 20, regularisati
     held-out margins (a bounded number) are judged on the driver.
     """
 
-    @F.udf(VectorUDT())
-    def vector(path, code):
-        at, value = features(path or "", code)
-        return SparseVector(SIZE, at.tolist(), value.tolist())
+    sample = _sample(files, signs).select("file_path", "code", F.pmod(F.xxhash64(F.coalesce("crate", F.lit(""))), F.lit(5)).alias("fold"), *KINDS)
+    vector = pa.struct([("type", pa.int8()), ("size", pa.int32()), ("indices", pa.list_(pa.int32())), ("values", pa.list_(pa.float64()))])
+    schema = StructType([StructField("features", VectorUDT()), StructField("held_out", BooleanType()), *[StructField(k, BooleanType()) for k in KINDS]])
 
-    sample = _sample(files, signs).withColumn("features", vector("file_path", "code")).withColumn("held_out", F.pmod(F.xxhash64(F.coalesce("crate", F.lit(""))), F.lit(5)) == 0)
-    sample = sample.withColumn("plain", ~(F.col("generated") | F.col("minified") | F.col("vendored") | F.col("data")))
-    sample = cut(sample.select("features", "held_out", "plain", *KINDS).repartition(4))
+    def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            made = [features(path or "", code) for path, code in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())]
+            rows = [{"type": 0, "size": SIZE, "indices": at.astype(np.int32), "values": value} for at, value in made]
+            held_out = pa.array([x == 0 for x in batch.column(2).to_pylist()], pa.bool_())
+            yield pa.RecordBatch.from_arrays([pa.array(rows, vector), held_out, *[batch.column(3 + k) for k in range(len(KINDS))]], names=["features", "held_out", *KINDS])
+
+    sample = cut(sample.mapInArrow(vectors, schema)).coalesce(2).withColumn("plain", ~(F.col("generated") | F.col("minified") | F.col("vendored") | F.col("data")))
     learn, rest = sample.where("not held_out").persist(), sample.where("held_out").persist()
     weights, offsets, thresholds, report = np.zeros((SIZE, len(KINDS)), np.float32), np.zeros(len(KINDS)), np.full(len(KINDS), np.inf), {}
     held = {r[0]: r[1:] for r in [("learn", *learn.agg(*[F.count_if(k) for k in KINDS]).first()), ("rest", *rest.agg(*[F.count_if(k) for k in KINDS], F.count(F.lit(1))).first())]}
-    margin = F.udf(lambda v: float(v[1]), "double")
+    margin = vector_to_array("rawPrediction")[1]
     for k, kind in enumerate(KINDS):
         if held["learn"][k] < 10 or held["rest"][k] < 3:
             continue
@@ -225,10 +231,10 @@ def train(files: DataFrame, signs: DataFrame, iterations: int = 20, regularisati
         label = F.col(kind).cast("double")
         model = svc.fit(learn.select("features", label.alias("label")))
         if kind in SILENT:
-            taken = F.col("plain") & (margin("rawPrediction") > 0)
+            taken = F.col("plain") & (margin > 0)
             model = svc.fit(model.transform(learn.select("features", kind, "plain")).select("features", F.when(taken, 1.0).otherwise(label).alias("label")))
         weights[:, k], offsets[k] = model.coefficients.toArray(), model.intercept
-        scored = np.array(model.transform(rest.select("features", kind)).select(label, margin("rawPrediction")).collect()).reshape(-1, 2)
+        scored = np.array(model.transform(rest.select("features", kind)).select(label, margin).collect()).reshape(-1, 2)
         scored = scored[np.argsort(-scored[:, 1])]
         share = np.cumsum(scored[:, 0]) / np.arange(1, len(scored) + 1)
         good = np.flatnonzero((scored[:, 1] > (kind in SILENT)) & ((share >= LEAST_SHARE) | (kind in SILENT)))
