@@ -46,7 +46,7 @@ _TOOL = re.compile(
     r"(?im)^\s*" + _COMMENT + r"\s*(?:@generated\b|<auto-?generated|this file (?:is|was) (?:auto-?|automatically )?generated|auto-?generated\b[^\n]*\bfile\b|code generated by\b|generated (?:code|file)\b|output of \S+ v?\d|"
     r"automatically (?:produced|generated) by|machine-(?:written|generated)|do not (?:modify|edit)\s*[:;,!-]|[^\n]*[;.] *do not edit\b|[^\n]*manual edits will be overwritten|[^\n]*changes (?:are|will be) lost)[^\n]*"
 )
-_IMPORTED = re.compile(r"(?im)^\s*" + _COMMENT + r"\s*(?:upstream:|taken verbatim from|local copy,? synced|(?:vendored|imported|copied) (?:from|unmodified)|[^\n]*imported unmodified|[^\n]*not maintained here|[^\n]*send fixes upstream)[^\n]*")
+_IMPORTED = re.compile(r"(?im)^\s*" + _COMMENT + r"\s*(?:upstream:|this is (?:a )?third[- ]party (?:file|code)|taken verbatim from|local copy,? synced|(?:vendored|imported|copied) (?:from|unmodified)|[^\n]*imported unmodified|[^\n]*not maintained here|[^\n]*send fixes upstream)[^\n]*")
 _HOLDER = re.compile(r"(?im)^\s*" + _COMMENT + r"\s*((?:copyright\b|\(c\)|©)[^\n]*)")
 _TOOL_PATH = re.compile(r"(?:^|/)(?:generated|__generated__|build/out|target/(?:debug|release)/build/[^/]+/out|gen)/|\.(?:gen|pb|generated|g)(?=\.[a-z]+$)|_bindings(?=\.rs$)")
 _MINIFIED_PATH = re.compile(r"[.-]min(?=\.(?:js|css|mjs)$)")
