@@ -7,10 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessella.plans import chunk_queries, code_queries, relational_queries, text_queries
+from tessella.plans import chunk_queries, code_queries, relational_queries, source_queries, text_queries
 from tessella.spark_util import table
 
-_MODULES = (text_queries, relational_queries, chunk_queries, code_queries)
+_MODULES = (text_queries, relational_queries, chunk_queries, code_queries, source_queries)
 
 
 def flagship(spark: SparkSession, folder: str) -> DataFrame:
