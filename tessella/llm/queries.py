@@ -31,6 +31,14 @@ def queries() -> dict:
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "p4_found": """
+            with r as (select 'documents' as tab, doc_id as id, text as t from documents where length(text) >= 200
+                    union all select distinct 'doc_chunk', chunk_id, content from doc_chunk where length(content) >= 200),
+                p as (select tab, id, t, unnest(range(1, length(t) - 198)) as i from r),
+                g as (select distinct tab, id, hash(t[i:i + 199]) as h from p),
+                k as (select h from g group by h having count(*) > 1),
+                s as (select g.* from g join k using (h))
+            select distinct a.tab as tab_a, a.id as id_a, b.tab as tab_b, b.id as id_b from s a join s b on a.h = b.h and (a.tab, a.id) < (b.tab, b.id)""",
         "p3_item_budget": """
             with once as (select item_id, arg_max(struct_pack(g := coalesce(nullif(lower(trim(granularity)), ''), '(none)'),
                     size := coalesce(tokens, length(text) // 4, 0)), ingested_at) r
