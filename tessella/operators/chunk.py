@@ -61,8 +61,8 @@ def overlap_start(lengths: list[int], limit: int) -> int:
     return start
 
 
-def adaptive_plan(sections: list[int], paragraphs: list[list[int]], most: int, overlap: int, mix=(0.25, 0.5)) -> list[tuple[int, int, int, int]]:
-    """Chunks as (first section, end, first overlap section, paragraph range or -1).
+def adaptive_plan(sections: list[int], paragraphs: list[list[int]], most: int, overlap: int, mix=(0.25, 0.5)) -> list[tuple[int, int, int, int, int]]:
+    """Chunks as (first, end, first overlap section, its end, -1), or (section, first paragraph, end, 0, section) of a section cut at paragraphs.
 
     Lengths in characters decide, a token being four of them. Sections are gathered
     until the target is reached that the sizes of the chunks so far ask for (10 000
@@ -71,7 +71,7 @@ def adaptive_plan(sections: list[int], paragraphs: list[list[int]], most: int, o
     of the one before, as many as the overlap allows. A section over the limit is cut
     at paragraphs, without overlap; the last chunk of a document has none either.
     """
-    out: list[tuple[int, int, int, int]] = []
+    out: list[tuple[int, int, int, int, int]] = []
     sizes = [0, 0, 0]
     held: list[int] = []
     before: list[int] = []
@@ -88,7 +88,7 @@ def adaptive_plan(sections: list[int], paragraphs: list[list[int]], most: int, o
         if not held:
             return
         kept = before[overlap_start([sections[i] for i in before], overlap) :] if with_overlap else []
-        out.append((held[0], held[-1] + 1, kept[0] if kept else held[0], -1))
+        out.append((held[0], held[-1] + 1, kept[0] if kept else 0, kept[-1] + 1 if kept else 0, -1))
         note(joined([*kept, *held]))
         before, held, tokens = held[-2:], [], 0
 
@@ -109,11 +109,11 @@ def adaptive_plan(sections: list[int], paragraphs: list[list[int]], most: int, o
             first, size = 0, 0
             for k, p in enumerate(paragraphs[i]):
                 if size + p // 4 > most and k > first:
-                    out.append((i, first, k, i))
+                    out.append((i, first, k, 0, i))
                     note(sum(paragraphs[i][first:k]) + 2 * (k - first - 1))
                     first, size = k, 0
                 size += p // 4
-            out.append((i, first, len(paragraphs[i]), i))
+            out.append((i, first, len(paragraphs[i]), 0, i))
             note(sum(paragraphs[i][first:]) + 2 * (len(paragraphs[i]) - first - 1))
         elif tokens + n > most:
             flush()
@@ -141,14 +141,14 @@ def adaptive(docs: DataFrame, key: str, text: str, most: int = 16384, overlap: i
 
     def plan(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         for sizes, parts in batches:
-            rows = [[{"a": a, "b": b, "c": c, "p": p} for a, b, c, p in adaptive_plan(x, y, most, overlap)] for x, y in zip(sizes.to_pylist(), parts.to_pylist())]
-            yield pa.array(rows, pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32()), ("c", pa.int32()), ("p", pa.int32())])))
+            rows = [[dict(zip("abcdp", x)) for x in adaptive_plan(n, y, most, overlap)] for n, y in zip(sizes.to_pylist(), parts.to_pylist())]
+            yield pa.array(rows, pa.list_(pa.struct([(x, pa.int32()) for x in "abcdp"])))
 
-    chosen = F.arrow_udf(plan, "array<struct<a int, b int, c int, p int>>")(lengths, paragraphs)
+    chosen = F.arrow_udf(plan, "array<struct<a int, b int, c int, d int, p int>>")(lengths, paragraphs)
     each = source.select("_key", "_s", F.posexplode_outer(chosen).alias("chunk_index", "_c"))
     piece = F.expr(r"array_join(slice(split(_s[_c.p], '\n\n'), _c.b + 1, _c.c - _c.b), '\n\n')")
-    whole = F.expr(r"array_join(slice(_s, _c.c + 1, _c.b - _c.c), '\n---\n')")
-    return each.select(F.col("_key").alias(key), "chunk_index", F.when(F.col("_c.p") >= 0, piece).otherwise(whole).alias("content"), F.expr("_c.p < 0 and _c.c < _c.a").alias("has_overlap"))
+    whole = F.expr(r"array_join(concat(slice(_s, _c.c + 1, _c.d - _c.c), slice(_s, _c.a + 1, _c.b - _c.a)), '\n---\n')")
+    return each.select(F.col("_key").alias(key), "chunk_index", F.when(F.col("_c.p") >= 0, piece).otherwise(whole).alias("content"), F.expr("_c.p < 0 and _c.d > _c.c").alias("has_overlap"))
 
 
 def tagged_samples(chunks: DataFrame, key: str, most: int = 8192, reserve: int = 100) -> DataFrame:

@@ -118,7 +118,12 @@ def importing_files(deps: DataFrame, files: DataFrame) -> DataFrame:
     return deps.join(hit.select("dep", "using_crate", "file_id").distinct(), "dep").select("crate", "dep", "using_crate", "file_id").distinct()
 
 
+def _cuts(text: str, size: int) -> Column:
+    """All substrings of one length."""
+    last = F.greatest(F.length(text) - size + 1, F.lit(1))
+    return F.transform(F.sequence(F.lit(1), last), lambda at: F.substring(text, at, F.lit(size)))
+
+
 def _by_words(uses: DataFrame, names: DataFrame) -> DataFrame:
-    lengths = [r[0] for r in names.select(F.length("dep")).distinct().collect()]
-    pieces = F.flatten(F.array(*[F.transform(F.sequence(F.lit(1), F.greatest(F.length("u") - n + 1, F.lit(1))), lambda i, n=n: F.substring("u", i, F.lit(n))) for n in lengths]))
-    return uses.withColumn("dep", F.explode(F.array_distinct(pieces))).join(names, "dep")
+    lengths = [r[0] for r in names.select(F.length("dep")).distinct().collect()]  # of identifiers: a few dozen at most
+    return uses.withColumn("dep", F.explode(F.array_distinct(F.flatten(F.array(*[_cuts("u", n) for n in lengths]))))).join(names, "dep")

@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
+from tessella.functions.text import token_count
+from tessella.operators import extract, packing
 from tessella.plans import chunk_queries, code_queries, relational_queries, source_queries, text_queries
 from tessella.spark_util import table
 
@@ -14,7 +15,10 @@ _MODULES = (text_queries, relational_queries, chunk_queries, code_queries, sourc
 
 
 def flagship(spark: SparkSession, folder: str) -> DataFrame:
-    return table(spark, folder, "src_file").groupBy("crate").agg(F.count(F.lit(1)).alias("n_files"))
+    """Source files of each crate in order, packed into chunks of at most 4 096 tokens: items and tokens per chunk."""
+    files = extract.files_once(table(spark, folder, "src_file")).withColumn("n", token_count("code"))
+    packed = packing.pack_in_order(files, ["crate"], ["seq", "file_id"], "n", 4096)
+    return packing.chunk_sizes(packed, ["crate"])
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -16,10 +16,10 @@ from pyspark.sql.types import StructType
 
 
 def _scan(spark: SparkSession, root: str, pattern: str, recursive: bool) -> DataFrame:
-    read = spark.read.option("wholetext", True).option("pathGlobFilter", pattern).option("recursiveFileLookup", recursive)
+    read = spark.read.option("pathGlobFilter", pattern).option("recursiveFileLookup", recursive)
     base = root.rstrip("/") + "/"
     path = F.substring_index(F.concat(F.lit("/"), F.expr("url_decode(_metadata.file_path)")), base, -1)
-    return read.text(root).select(path.alias("path"), F.col("_metadata.file_size").alias("byte_size"), F.col("value").alias("content"))
+    return read.text(root, wholetext=True).select(path.alias("path"), F.col("_metadata.file_size").alias("byte_size"), F.col("value").alias("content"))
 
 
 def markdown(spark: SparkSession, folder: str) -> DataFrame:
