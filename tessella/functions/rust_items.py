@@ -19,10 +19,14 @@ _BRACKET = re.compile(r"[()\[\]{}]")
 _NOT_NEWLINE = re.compile(r"[^\n]")
 _ATTRIBUTE = re.compile(r"#\s*(!?)\s*\[")
 _KEYWORDS = "as|break|const|continue|else|enum|extern|fn|for|if|impl|in|let|loop|match|mod|move|mut|pub|ref|return|static|struct|trait|type|unsafe|use|where|while|async|await|dyn|yield|box"
-_MACRO = re.compile(rf"\bmacro_rules\s*!\s*(?P<rules>\w+)\s*[({{\[]|(?<!\w)(?:\w+\s*::\s*)*(?!(?:{_KEYWORDS})\b)(?P<call>[^\W\d]\w*)\s*!\s*[({{\[]|\bmacro\s+(?P<decl>\w+)\s*[({{]")
+_BANG = re.compile(r"!\s*(?P<name>[^\W\d]\w*\s*)?[({\[]")
+_CALLED = re.compile(r"(?:\w+\s*::\s*)*(?P<call>[^\W\d]\w*)\s*\Z")
+_DECLARED = re.compile(r"\bmacro\s+(?P<name>[^\W\d]\w*)\s*[({]")
+_BODY = re.compile(r"\s*\{")
+_RESERVED = frozenset(_KEYWORDS.split("|"))
 _FUNCTION = re.compile(r"\bfn\s+(?:r#)?([^\W\d]\w*)")
 _SIGNATURE = re.compile(r"->|=>|[()\[\]{};<>]")
-_QUALIFIERS = re.compile(r'\s*(?P<all>(?P<vis>pub\b(?:\s*\([^()]*\))?|crate\b)?\s*(?:(?:default|const|async|unsafe|safe|gen|extern(?:\s*"[^"]*")?)\b\s*|"\s*)*)\s*')
+_QUALIFIERS = re.compile(r'(?P<vis>pub ?\([^()]*\) ?|(?:pub|crate)(?: |$))?(?:(?:default|const|async|unsafe|safe|gen|extern ?(?:" ?")?)(?: |$))*')
 _DOC_ATTRIBUTE = re.compile(r'\bdoc\s*=\s*(?:r(#*)"(.*?)"\1|"((?:[^"\\]|\\.)*)")', re.S)
 _ESCAPE = re.compile(r"\\(?:u\{([0-9a-fA-F_]+)\}|x([0-9a-fA-F]{2})|(\n\s*)|(.))", re.S)
 _ITEM = re.compile(r"\b(impl|trait|struct|enum|union|use|mod)\b")
@@ -127,17 +131,30 @@ class RustSource:
         return "".join(out)
 
     def _without_macros(self, text: str) -> str:
-        out, at = [], 0
-        while m := _MACRO.search(text, at):
-            end = self._close(text, m.end() - 1)
-            if m["decl"] and text[m.end() - 1] == "(":  # the pattern; the body follows
-                if body := re.compile(r"\s*\{").match(text, end):
+        out, at, looked = [], 0, 0
+        declared = "macro " in text
+        while True:
+            m = _BANG.search(text, looked)
+            d = _DECLARED.search(text, looked) if declared else None
+            if d and (not m or d.start() < m.start()):
+                start, end, name, kind = d.start(), self._close(text, d.end() - 1), d["name"], "definition"
+                if text[d.end() - 1] == "(" and (body := _BODY.match(text, end)):  # the pattern, then the body
                     end = self._close(text, body.end() - 1)
-            kind = "call" if m["call"] else "definition"
-            self.macros.append((m.start(), end, m["call"] or m["rules"] or m["decl"], kind))
-            item = _blank(text[m.start() : end])
-            out += [text[at : m.start()], item[:-1] + ";" if self._at_item(text, m.start()) else item[:-1] + "0"]
-            at = end
+            elif m:
+                near = max(at, m.start() - 160)
+                called = _CALLED.search(text, near, m.start())
+                rules = called is not None and called["call"] == "macro_rules"
+                if called is None or called["call"] in _RESERVED or bool(m["name"]) != rules:
+                    looked = m.start() + 1
+                    continue
+                start, end = called.start(), self._close(text, m.end() - 1)
+                name, kind = (m["name"].strip(), "definition") if rules else (called["call"], "call")
+            else:
+                break
+            self.macros.append((start, end, name, kind))
+            blank = _blank(text[start:end])
+            out += [text[at:start], blank[:-1] + (";" if self._at_item(text, start) else "0")]
+            at = looked = end
         out.append(text[at:])
         return "".join(out)
 
@@ -173,6 +190,17 @@ class RustSource:
         """Behind the last brace or semicolon before ``start``: an item's attributes, documentation and qualifiers lie after it."""
         return max(self.text.rfind(x, 0, start) for x in "{};") + 1
 
+    def _qualified(self, zone: int, start: int) -> tuple[int, str, list[str]] | None:
+        """Where an item with its qualifiers begins, its visibility and its other words; None if something else stands before it."""
+        gap = self.text[zone:start]
+        words = gap.split()
+        if not words:
+            return start, "private", []
+        m = _QUALIFIERS.fullmatch(" ".join(words)) if len(words) < 30 else None
+        if m is None:
+            return None
+        return start - len(gap.lstrip()), (m["vis"] or "").strip() or "private", words
+
     def _documentation(self, start: int, end: int) -> str | None:
         own = [d for a, _, d in self.docs if start <= a < end]
         return "\n".join(own) if own else None
@@ -185,12 +213,11 @@ class RustSource:
         text, found = self.text, []
         for m in _FUNCTION.finditer(text):
             start = self._before(m.start())
-            q = _QUALIFIERS.fullmatch(text, start, m.start())
-            body = self._body(m.end())
+            q = self._qualified(start, m.start())
+            body = self._body(m.end()) if q else None
             if q is None or body is None or body not in self.braces:
                 continue
-            begin = q.start("all") if q["all"].strip() else m.start()
-            found.append({"name": m[1], "at": m.start(), "begin": begin, "body": body, "end": self.braces[body], "zone": start, "visibility": " ".join((q["vis"] or "").split()) or "private", "words": q["all"].split()})
+            found.append({"name": m[1], "at": m.start(), "begin": q[0], "body": body, "end": self.braces[body], "zone": start, "visibility": q[1], "words": q[2]})
         return found
 
     def _body(self, at: int) -> int | None:
@@ -247,7 +274,7 @@ class RustSource:
         found = []
         for m in _ITEM.finditer(self.text):
             zone = self._before(m.start())
-            q = _QUALIFIERS.fullmatch(self.text, zone, m.start())
+            q = self._qualified(zone, m.start())
             if q is None:
                 continue
             end = re.compile(r";" if m[1] == "use" else r"[{;]").search(self.text, m.end())
@@ -256,7 +283,7 @@ class RustSource:
             header = " ".join(self.text[m.start() : end.start()].split())
             close = self.braces.get(end.start(), end.end())
             name = re.match(r"\w+\s+(?:r#)?([^\W\d]\w*)", header)
-            found.append({"kind": m[1], "name": name[1] if name and m[1] != "impl" else None, "header": header, "zone": zone, "at": m.start(), "body": end.start(), "end": close, "visibility": " ".join((q["vis"] or "").split()) or "private"})
+            found.append({"kind": m[1], "name": name[1] if name and m[1] != "impl" else None, "header": header, "zone": zone, "at": m.start(), "body": end.start(), "end": close, "visibility": q[1]})
         return found
 
     @staticmethod
@@ -282,7 +309,7 @@ class RustSource:
         """Calls in a function's body, in order: callee, kind (direct, method, scoped), qualified path, line."""
         found = []
         for m in _CALL.finditer(self.text, f["body"], f["end"]):
-            if m["name"] in _KEYWORDS.split("|") or re.search(r"\bfn\s+$", self.text[max(0, m.start() - 4) : m.start()] or " "):
+            if m["name"] in _RESERVED or re.search(r"\bfn\s+$", self.text[max(0, m.start() - 4) : m.start()] or " "):
                 continue
             path = "".join(m["path"].split())
             kind = "method" if m["dot"] else "scoped" if path else "direct"
