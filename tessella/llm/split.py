@@ -14,6 +14,8 @@ from tessella.llm.tokens import BYTE_BPE, TOKENIZERS, byte_bpe, encode_array, sl
 #: A cut behind a token, strongest first: before a heading, a blank line, a line end, behind a sentence, before white space,
 #: between other characters; then a place where a piece would encode otherwise, and one within a character.
 HEADING, PARAGRAPH, LINE, SENTENCE, WORD, CHARACTER, UNSAFE, NEVER, END = "HPLSWCyxE"
+_SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
+_FLAT = np.isin(np.arange(256), [9, 11, 12, 13, 32])
 STRONG = HEADING + PARAGRAPH + LINE + SENTENCE
 
 
@@ -24,22 +26,23 @@ def boundary_letters(data: np.ndarray, ends: np.ndarray) -> np.ndarray:
     pre-split ever crosses, so both sides encode as in the whole text; a cut behind
     white space would change how the run before it is split and counts as unsafe.
     """
-    around = np.concatenate([np.full(1, 32, np.uint8), data, np.full(6, 32, np.uint8)])
-    at = [around[ends + k] for k in range(6)]  # at[0] is the byte before the cut
-    space = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
-    before, after = space[at[0]], space[at[1]]
+    padded = np.concatenate([data, np.full(3, 0, np.uint8)])
+    place = np.arange(len(padded))
+    white, flat = _SPACE[padded], _FLAT[padded]
+    beyond_flat = np.minimum.accumulate(np.where(flat, len(data), place)[::-1])[::-1]  # the next byte that is no blank within a line
+    beyond = np.minimum.accumulate(np.where(white, len(data), place)[::-1])[::-1]
+    before, after = white[ends - 1], white[ends]
     letters = np.full(len(ends), ord(CHARACTER), np.uint8)
-    letters[(before & ~after) | (at[1] == ord("'"))] = ord(UNSAFE)
-    letters[(at[1] & 0xC0) == 0x80] = ord(NEVER)
-    gap = ~before & after & (at[0] < 128) | (~before & after & (at[0] >= 128) & (at[1] != 0))
+    letters[(before & ~after) | (padded[ends] == ord("'"))] = ord(UNSAFE)
+    letters[(padded[ends] & 0xC0) == 0x80] = ord(NEVER)
+    gap = ~before & after
     letters[gap] = ord(WORD)
-    letters[gap & np.isin(at[0], np.frombuffer(b".!?;", np.uint8))] = ord(SENTENCE)
-    newline = [x == 10 for x in at]
-    crlf = (at[1] == 13) & newline[2]
-    letters[gap & (newline[1] | crlf)] = ord(LINE)
-    letters[gap & ((newline[1] & newline[2]) | (crlf & (at[3] == 13) & newline[4]))] = ord(PARAGRAPH)
-    hash_ = [x == 35 for x in at]
-    letters[gap & ((newline[1] & (hash_[2] | (newline[2] & hash_[3]))) | (crlf & (hash_[3] | ((at[3] == 13) & newline[4] & hash_[5]))))] = ord(HEADING)
+    letters[gap & np.isin(padded[ends - 1], np.frombuffer(b".!?;", np.uint8))] = ord(SENTENCE)
+    line_end = beyond_flat[ends]
+    line = gap & (padded[line_end] == 10)
+    letters[line] = ord(LINE)
+    letters[line & (padded[beyond_flat[line_end + 1]] == 10)] = ord(PARAGRAPH)
+    letters[line & (padded[beyond[ends]] == 35)] = ord(HEADING)
     return letters
 
 

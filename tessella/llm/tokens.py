@@ -175,54 +175,42 @@ class Trie:
                     parent.append((at, byte))
                 at = to
             token[at] = rank
-        self.fail: list[int | None] = [None] * len(self.next)
+        self.fail = [0] * len(self.next)
         self.pops: list[tuple] = [()] * len(self.next)
         queue = list(self.next[0].values())
         for at in queue:
             queue.extend(self.next[at].values())
             if token[at] is not None:
-                self.fail[at], self.pops[at] = 0, (token[at],)
+                self.pops[at] = (token[at],)
                 continue
             up, byte = parent[at]
+            if up == 0:  # a first byte that is no token itself
+                self.pops[at] = (None,)
+                continue
             z, pops = self.fail[up], list(self.pops[up])
-            while z is not None and byte not in self.next[z]:
+            while z and byte not in self.next[z]:
                 pops += self.pops[z]
                 z = self.fail[z]
-            if z is not None:
-                self.fail[at], self.pops[at] = self.next[z][byte], tuple(pops)
+            to = self.next[z].get(byte, 0)
+            self.fail[at], self.pops[at] = to, tuple(pops if to else [*pops, None])
 
     def match(self, word: bytes) -> list:
-        """Ids of the longest-match tokens of ``word``, None where no token starts."""
+        """Ids of the longest-match tokens of ``word``, None for each byte where no token starts."""
         out: list = []
         at, step, fail, pops = 0, self.next, self.fail, self.pops
-        for i, byte in enumerate(word):
-            while byte not in step[at]:
-                if at == 0:
-                    out.append(None)
-                    break
-                if fail[at] is None:  # no token covers what is read: start again behind its first byte
-                    return out + self._slow(word, i, at)
+        for byte in word:
+            while at and byte not in step[at]:
                 out += pops[at]
                 at = fail[at]
-            else:
-                at = step[at][byte]
+            to = step[at].get(byte, 0)
+            if not to:
+                out.append(None)
+            at = to
         while at:
-            if fail[at] is None:
-                return out + self._slow(word, len(word), at)
             out += pops[at]
             at = fail[at]
         return out
 
-    def _slow(self, word: bytes, end: int, at: int) -> list:
-        depth, reach = 0, {0: 0}
-        queue = [0]
-        for node in queue:  # depth of the state, found only in this rare case
-            for to in self.next[node].values():
-                reach[to] = reach[node] + 1
-                queue.append(to)
-        depth = reach[at]
-        return [None, *self.match(word[end - depth + 1 :])]
-
 
 class TrieCounter:
     """Token counts with the trie: exact for longest-match vocabularies, and for byte BPE by proof or repair.
