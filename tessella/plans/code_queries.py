@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tessella.functions import paths as P
+from tessella.functions.text import lines_between
 from tessella.operators import extract, graph, mining, render
 from tessella.spark_util import cut, table
 
@@ -60,6 +61,16 @@ def E19_uses_and_exports(s, d):
     return extract.imports_and_exports(_once(s, d))
 
 
+@query("""with f as (select file_id, max(code) code from src_file where code is not null group by 1), i as (select distinct file_id, start_line, end_line, name from fn_info where end_line is not null),
+    j as (select i.*, regexp_extract_all(f.code, '[^\\n]*\\n|[^\\n]+$') l from i join f using (file_id))
+    select file_id, start_line, name, array_to_string(l[greatest(start_line - 50, 1):least(end_line + 50, len(l))], '') as around from j""")
+def X21_surrounding_lines(s, d):
+    """A recorded function with fifty lines before and behind it; rows without an end line have none."""
+    places = table(s, d, "fn_info").where("end_line is not null").select("file_id", "start_line", "end_line", "name").distinct()
+    rows = places.join(graph.files_by_id(table(s, d, "src_file")), "file_id")
+    return rows.select("file_id", "start_line", "name", lines_between("code", F.col("start_line") - 50, F.col("end_line") + 50).alias("around"))
+
+
 # ---- miners
 
 

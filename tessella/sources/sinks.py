@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessella.functions.text import slug
 from tessella.operators import stats
 
 RULE = "\n" + "=" * 80 + "\n"
@@ -29,6 +30,11 @@ def separated_text(df: DataFrame, text: str, path: str) -> None:
     df.select(F.col(text).alias("value")).write.mode("overwrite").option("lineSep", RULE).text(path)
 
 
+def named_texts(df: DataFrame, name: str, text: str, path: str) -> None:
+    """A folder per name (made a slug) with its texts; texts whose names have one slug lie side by side."""
+    df.where(F.col(text).isNotNull()).select(slug(name).alias("name"), F.col(text).alias("value")).write.mode("overwrite").option("lineSep", "\n").partitionBy("name").text(path)
+
+
 def statistics(chunks: DataFrame, tokens: str, source: str) -> DataFrame:
     """One row: totals, moments and percentiles of tokens, shares of small, medium and large chunks."""
     t = F.col(tokens)

@@ -207,6 +207,11 @@ def test_statistics_sinks(spark, tmp_path):
     assert "| total chunks | 3 |" in sinks.report(row.asDict(), "T")
 
 
+def test_named_texts(spark, tmp_path):
+    sinks.named_texts(spark.createDataFrame([("A b", "x\ny"), ("a-b", "z"), ("c", None)], "n string, t string"), "n", "t", str(tmp_path / "m"))
+    assert sorted((r.name, r.value) for r in spark.read.text(str(tmp_path / "m")).collect()) == [("a-b", "x"), ("a-b", "y"), ("a-b", "z")]
+
+
 def test_cut_keeps_rows_and_schema(spark):
     df = spark.range(10).withColumn("x", F.lit(None).cast("string"))
     again = cut(df)
