@@ -17,7 +17,7 @@ UNWRITTEN = "todo fixme tbd wip xxx".split()
 LEAST_WORDS = 4
 
 _WORD = re.compile(r"[^\W_]+")
-_FENCE = re.compile(r"^\s*(`{3,}|~{3,})")
+_FENCE = re.compile(r"^\s*(`{3,}(?=[^`]*$)|~{3,})")
 _HEADING = re.compile(r"^\s{0,3}#{1,6}(?:\s|$)")
 _FILLING = frozenset(re.sub("s$", "", w) for w in FILLERS)
 _UNWRITTEN = frozenset(re.sub("s$", "", w) for w in UNWRITTEN)

@@ -275,7 +275,9 @@ def classify(files: DataFrame) -> DataFrame:
     signs = cut(with_foreign_holders(cut(giveaways(files))))
     model = train(files, signs)
     copied = signs.where("vendored and print is not null and not generated and not data").select("print").distinct().withColumn("_copy", F.lit(True))
-    per_file = signs.join(copied, "print", "left").groupBy("file_id").agg(*[F.bool_or(k).alias(k) for k in KINDS], F.bool_or(F.coalesce("_copy", F.lit(False))).alias("_copy"))
+    # files too short for a print stay out of the join, in which they would all meet in one place
+    marked = signs.where("print is not null").join(copied, "print", "left").unionByName(signs.where("print is null").withColumn("_copy", F.lit(None).cast("boolean")))
+    per_file = marked.groupBy("file_id").agg(*[F.bool_or(k).alias(k) for k in KINDS], F.bool_or(F.coalesce("_copy", F.lit(False))).alias("_copy"))
     judged = scores(files, model).groupBy("file_id").agg(*[F.max(f"m_{k}").alias(f"m_{k}") for k in KINDS])
     both = per_file.join(judged, "file_id")
     flags = {k: F.col(k) | F.coalesce(F.col(f"m_{k}") > 0, F.lit(False)) for k in KINDS}

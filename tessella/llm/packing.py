@@ -127,7 +127,7 @@ def pack(items: DataFrame, limits: DataFrame, group_items: int = GROUP_ITEMS) ->
     """
     cut = pieces(items, limits)
     counts = cut.groupBy("granularity").agg(F.count(F.lit(1)).alias("n_rows"))
-    spread = cut.join(F.broadcast(counts), "granularity").withColumn("grp", F.pmod(F.xxhash64("item_id", "piece"), F.ceil(F.col("n_rows") / F.lit(group_items)))).drop("n_rows")
+    spread = cut.join(counts, "granularity").withColumn("grp", F.pmod(F.xxhash64("item_id", "piece"), F.ceil(F.col("n_rows") / F.lit(group_items)))).drop("n_rows")
     full = spread.where("size = capacity").withColumn("container", F.concat_ws(":", F.lit("full"), "granularity", "item_id", "piece")).withColumn("free", F.lit(0).cast("long"))
     rest = spread.where("size < capacity")
     columns = ", ".join(f"{n} {t}" for n, t in rest.dtypes)

@@ -67,7 +67,7 @@ def test_documented_functions(spark):
 
 @pytest.mark.parametrize(("doc", "name", "trivial"), [
     (None, "x", True), ("one two three", "x", True), ("one two three four", "x", False), ("Todos are listed here now", "x", True), ("The file of the files", "file", True), ("a_b c d", "x", False),
-    ("~~~\na b c d e\n~~~\n", "x", True), ("```\nopen a b c d", "x", True), ("#no heading but words", "x", False), ("    # indented too far to be one", "x", False), ("The FILES it reads", "read_file", True),
+    ("~~~\na b c d e\n~~~\n", "x", True), ("```\nopen a b c d", "x", True), ("```inline``` code in a line of words", "x", False), ("#no heading but words", "x", False), ("    # indented too far to be one", "x", False), ("The FILES it reads", "read_file", True),
 ])
 def test_trivial(doc, name, trivial):
     assert D.is_trivial(doc, name) is trivial
