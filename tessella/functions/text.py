@@ -33,6 +33,29 @@ def _col(x: str | Column) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
+#: Private-use characters between what was found; texts that hold them are searched the slower way.
+MARK, PART = "\ue0f1\ue0f2", "\ue0f3\ue0f4"
+
+
+def match_count(x: str | Column, pattern: str) -> Column:
+    """Matches of a pattern, by the growth when each is marked: replacing is linear in the text, collecting all matches isn't."""
+    return (F.length(F.regexp_replace(_col(x), f"({pattern})", "$1" + MARK[0])) - F.length(_col(x))).cast("long")
+
+
+def all_matches(x: str | Column, pattern: str, groups: tuple[int, ...] = (1,)) -> Column:
+    """The groups of every match, an array of strings per match; groups that took no part are empty.
+
+    ``regexp_extract_all`` copies the whole text for each match. Here one replacement
+    marks all matches and two splits take them out, in time linear in the text.
+    """
+    x = _col(x)
+    marked = F.regexp_replace(x, pattern, MARK + PART.join(f"${g}" for g in groups) + MARK)
+    quick = F.transform(F.filter(F.split(marked, MARK), lambda _, k: k % 2 == 1), lambda m: F.split(m, PART))
+    each = [F.regexp_extract_all(x, F.lit(pattern), F.lit(g)) for g in groups]
+    slow = F.transform(each[0], lambda a, k: F.array(a, *[F.get(e, k) for e in each[1:]]))
+    return F.when(x.contains(MARK[0]) | x.contains(PART[0]), slow).otherwise(quick)
+
+
 def strip(x: str | Column) -> Column:
     """Without white space at both ends."""
     return F.regexp_replace(_col(x), EDGES, "")
@@ -53,13 +76,12 @@ def heading_level(x: str | Column, default: int = 2) -> Column:
 
 
 def subsection_count(x: str | Column) -> Column:
-    return F.regexp_count(_col(x), F.lit(LINES + SUBHEADING))
+    return match_count(x, LINES + SUBHEADING)
 
 
 def code_blocks(x: str | Column) -> Column:
     """Fenced blocks as structs of language (``text`` if none) and stripped code; empty blocks are left out."""
-    languages, bodies = (F.regexp_extract_all(_col(x), F.lit(FENCE), F.lit(g)) for g in (1, 2))
-    pairs = F.zip_with(languages, bodies, lambda a, b: F.struct(F.coalesce(F.nullif(a, F.lit("")), F.lit("text")).alias("language"), strip(b).alias("code")))
+    pairs = F.transform(all_matches(x, FENCE, (1, 2)), lambda m: F.struct(F.coalesce(F.nullif(m[0], F.lit("")), F.lit("text")).alias("language"), strip(m[1]).alias("code")))
     return F.filter(pairs, lambda p: p["code"] != "")
 
 
@@ -68,7 +90,7 @@ def without_code_blocks(x: str | Column) -> Column:
 
 
 def word_count(x: str | Column) -> Column:
-    return F.regexp_count(_col(x), F.lit(NOT_SPACE + "+")).cast("long")
+    return F.size(F.filter(F.split(_col(x), SPACE + "+"), lambda w: w != "")).cast("long")
 
 
 def token_count(x: str | Column, mode: str = "chars4") -> Column:
@@ -95,10 +117,8 @@ def code_share(x: str | Column) -> Column:
 
 def source_references(x: str | Column) -> Column:
     """References ``[path:start-end]()`` as structs; the end defaults to the start, numbers too large are null."""
-    parts = [F.regexp_extract_all(_col(x), F.lit(REFERENCE), F.lit(g)) for g in (1, 2, 3)]
-    zipped = F.zip_with(F.zip_with(parts[0], parts[1], lambda p, s: F.struct(p.alias("p"), s.alias("s"))), parts[2], lambda a, e: F.struct(a["p"].alias("p"), a["s"].alias("s"), e.alias("e")))
     number = lambda c: c.try_cast("long")
-    return F.transform(zipped, lambda r: F.struct(r["p"].alias("file_path"), number(r["s"]).alias("start_line"), number(F.when(r["e"] == "", r["s"]).otherwise(r["e"])).alias("end_line")))
+    return F.transform(all_matches(x, REFERENCE, (1, 2, 3)), lambda m: F.struct(m[0].alias("file_path"), number(m[1]).alias("start_line"), number(F.when(m[2] == "", m[1]).otherwise(m[2])).alias("end_line")))
 
 
 def looks_like_markdown(x: str | Column) -> Column:
@@ -130,10 +150,12 @@ def size_bucket(tokens: str | Column) -> Column:
 
 def lines_between(x: str | Column, start: Column, end: Column) -> Column:
     """Lines start to end (from 1, both included, clamped) with their line ends; null for a null text, empty outside it."""
-    lines = F.regexp_extract_all(_col(x), F.lit(r"[^\n]*\n|[^\n]+$"), F.lit(0))
-    first = F.greatest(start, F.lit(1)).cast("int")
-    count = F.greatest(F.least(end, F.size(lines)) - first + 1, F.lit(0)).cast("int")
-    return F.when(_col(x).isNotNull(), F.array_join(F.slice(lines, first, count), ""))
+    parts = F.split(_col(x), "\n")  # each but the last has its line end
+    total = F.size(parts) - F.when(F.element_at(parts, -1) == "", 1).otherwise(0)
+    first, last = F.greatest(start, F.lit(1)).cast("int"), F.least(end, total).cast("int")
+    count = F.greatest(last - first + 1, F.lit(0))
+    text = F.concat(F.array_join(F.slice(parts, first, count), "\n"), F.when((count > 0) & (last < F.size(parts)), "\n").otherwise(""))
+    return F.when(_col(x).isNotNull(), text)
 
 
 def slug(x: str | Column) -> Column:

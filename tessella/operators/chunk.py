@@ -44,8 +44,8 @@ def by_rule(docs: DataFrame, key: str, text: str, least: int = LEAST_CHARS) -> D
 def with_features(chunks: DataFrame, default_heading) -> DataFrame:
     """Adds heading, counts, flags and token statistics of ``content``."""
     return chunks.select(
-        "*", T.heading_text("content", default_heading).alias("heading"), T.heading_level("content").alias("heading_level"), T.word_count("content").alias("word_count"), T.subsection_count("content").cast("long").alias("subsection_count"),
-        F.regexp_count("content", F.lit(T.ANY_FENCE)).cast("long").alias("code_block_count"), F.col("content").contains("mermaid").alias("has_mermaid"), (F.col("content").contains("|") & F.col("content").contains("---")).alias("has_tables"),
+        "*", T.heading_text("content", default_heading).alias("heading"), T.heading_level("content").alias("heading_level"), T.word_count("content").alias("word_count"), T.subsection_count("content").alias("subsection_count"),
+        T.match_count("content", T.ANY_FENCE).alias("code_block_count"), F.col("content").contains("mermaid").alias("has_mermaid"), (F.col("content").contains("|") & F.col("content").contains("---")).alias("has_tables"),
         T.token_stats("content").alias("token_stats"), T.code_share("content").alias("code_token_percentage"),
     )
 

@@ -18,6 +18,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import ArrayType, StructType
 
 from tessella.functions import rust_patterns as patterns
+from tessella.functions.text import all_matches
 from tessella.functions.rust_items import RustSource, split_top
 
 FACTS = {
@@ -138,12 +139,12 @@ def files_once(files: DataFrame) -> DataFrame:
 
 def schema_macros(files: DataFrame, macro: str) -> DataFrame:
     """Every ``macro! { … }`` up to the first closing brace: ``file_id, code``."""
-    found = F.regexp_extract_all("code", F.lit(macro + r"!\s*\{[\s\S]*?\}"), F.lit(0))
+    found = F.transform(all_matches("code", macro + r"!\s*\{[\s\S]*?\}", (0,)), lambda m: m[0])
     return files.where("code is not null").select("file_id", F.explode(found).alias("code"))
 
 
 def imports_and_exports(files: DataFrame) -> DataFrame:
     """``file_id, kind, name``: paths of use statements and names of public items, each once per file."""
-    uses = F.transform(F.regexp_extract_all("code", F.lit(r"use[ \t\n\r]+([^;]+);"), F.lit(1)), lambda x: F.struct(F.lit("use").alias("kind"), F.regexp_replace(x, r"\A[ \t\n\r]+|[ \t\n\r]+\z", "").alias("name")))
-    names = F.transform(F.regexp_extract_all("code", F.lit(r"pub[ \t\n\r]+(?:async[ \t\n\r]+)?(?:fn|struct|enum|trait|type|const|static)[ \t\n\r]+([A-Za-z0-9_]+)"), F.lit(1)), lambda x: F.struct(F.lit("pub").alias("kind"), x.alias("name")))
+    uses = F.transform(all_matches("code", r"use[ \t\n\r]+([^;]+);"), lambda m: F.struct(F.lit("use").alias("kind"), F.regexp_replace(m[0], r"\A[ \t\n\r]+|[ \t\n\r]+\z", "").alias("name")))
+    names = F.transform(all_matches("code", r"pub[ \t\n\r]+(?:async[ \t\n\r]+)?(?:fn|struct|enum|trait|type|const|static)[ \t\n\r]+([A-Za-z0-9_]+)"), lambda m: F.struct(F.lit("pub").alias("kind"), m[0].alias("name")))
     return files.where("code is not null").select("file_id", F.explode(F.concat(uses, names)).alias("x")).select("file_id", "x.*").distinct()

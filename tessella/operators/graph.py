@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessella.functions.text import lines_between
+from tessella.functions.text import all_matches, lines_between
 
 COMMON_CALLS = ("Some", "None", "Ok", "Err", "println", "print", "format", "vec", "panic", "assert", "unwrap", "expect")
 
@@ -112,7 +112,7 @@ def importing_files(deps: DataFrame, files: DataFrame) -> DataFrame:
     length equals it. Only the distinct names (a short list) and their lengths are
     broadcast; imports are cut into those lengths.
     """
-    uses = files.where("code is not null").select("crate", "file_id", F.explode(F.array_distinct(F.regexp_extract_all("code", F.lit(r"use [^;]+;"), F.lit(0)))).alias("u")).withColumnRenamed("crate", "using_crate")
+    uses = files.where("code is not null").select("crate", "file_id", F.explode(F.array_distinct(F.transform(all_matches("code", r"use [^;]+;", (0,)), lambda m: m[0]))).alias("u")).withColumnRenamed("crate", "using_crate")
     names = deps.select("dep").distinct()
     hit = uses.join(F.broadcast(names), F.col("u").contains(F.col("dep"))) if names.count() <= 2_000 else _by_words(uses, names)
     return deps.join(hit.select("dep", "using_crate", "file_id").distinct(), "dep").select("crate", "dep", "using_crate", "file_id").distinct()

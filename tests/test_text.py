@@ -50,6 +50,16 @@ def test_lines_between(spark):
     assert get(1, 1, None) is None
 
 
+def test_all_matches(spark):
+    for text in ("a1b22", "", "no", f"a1{T.MARK}b22", f"a1{T.PART[0]}", "a1a1"):
+        import re
+
+        got = value(spark, T.all_matches("t", r"([a-z])([0-9]+)?", (1, 2, 0)), text)
+        assert got == [[m[1], m[2] or "", m[0]] for m in re.finditer(r"([a-z])([0-9]+)?", text)]
+        assert value(spark, T.match_count("t", "[a-z]"), text) == len(re.findall("[a-z]", text))
+    assert value(spark, T.all_matches("t", "(a)"), None) is None
+
+
 def test_marks(spark):
     assert value(spark, T.is_generated("t"), "a\n// DO NOT EDIT\n") is True
     assert value(spark, T.is_generated("t"), "\n" * 10 + "// do not edit") is False
