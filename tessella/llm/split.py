@@ -101,7 +101,9 @@ def split_documents(docs: DataFrame, limit: int, overlap: int, key: str = "doc_i
     later = limit - overlap - slack
     laid = token_layout(docs, key, "text", limit, folder, name)
     first = laid.withColumn("_a", F.regexp_extract("cuts", piece_pattern(limit), 0))
-    rest = F.regexp_extract_all(F.expr("substring(cuts, length(_a) + 1)"), F.lit(piece_pattern(later)), F.lit(0))
+    # every match is marked and the string split, which is linear; collecting matches would copy the string for each
+    marked = F.regexp_replace(F.expr("substring(cuts, length(_a) + 1)"), f"({piece_pattern(later)})", "$1|")
+    rest = F.filter(F.split(marked, "[|]"), lambda p: p != "")
     sizes = first.withColumn("_n", F.concat(F.array(F.length("_a")), F.transform(rest, F.length)))
     stops = sizes.withColumn("_stops", F.expr("transform(_n, (x, i) -> aggregate(slice(_n, 1, i + 1), 0, (a, b) -> a + b))"))
     back = f"length(rtrim('{UNSAFE}{NEVER}', substring(cuts, 1, _stops[i - 1] - {overlap})))" if overlap else "_stops[i - 1]"
