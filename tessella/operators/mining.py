@@ -14,7 +14,7 @@ EXAMPLES = 10
 
 def derive_sets(types: DataFrame) -> DataFrame:
     """Sets of derives and serde arguments by frequency: ``kind, value, n, examples``; types without either aren't counted."""
-    once = types.select("file_id", "line", "name", F.array_join(F.array_sort("derives"), ", ").alias("derive_set"), "serde_attrs").distinct()
+    once = cut(types.select("file_id", "line", "name", F.array_join(F.array_sort("derives"), ", ").alias("derive_set"), "serde_attrs").distinct())
     order, example, first = F.struct("file_id", "line"), F.concat_ws(":", "file_id", "name"), F.col("file_id")
     sets = stats.top_with_examples(once.where("derive_set <> ''"), "derive_set", order, example, first, TOP, EXAMPLES).select(F.lit("derives").alias("kind"), "*")
     attrs = once.select("file_id", "line", "name", F.explode("serde_attrs").alias("attr"))
@@ -23,7 +23,7 @@ def derive_sets(types: DataFrame) -> DataFrame:
 
 def frequent_macros(macros: DataFrame) -> DataFrame:
     """The macros called most often, with their first calls."""
-    calls = macros.where("kind = 'call'").select("file_id", "name", "line").distinct()
+    calls = cut(macros.where("kind = 'call'").select("file_id", "name", "line").distinct())
     return stats.top_with_examples(calls, "name", F.struct("file_id", "line"), F.concat_ws(":", "file_id", "line"), F.col("file_id"), TOP, EXAMPLES)
 
 

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from tessella.functions import text as T
 from tessella.functions.paths import language_of
 from tessella.operators import extract, graph, stats
+from tessella.spark_util import cut
 
 REPOSITORY = "corpus"
 SHOWN = 10
@@ -127,16 +128,18 @@ def crate_headers(crates: DataFrame) -> DataFrame:
     return _crate_lines(crates)
 
 
-def crate_cards(crates: DataFrame, types: DataFrame, traits: DataFrame, files: DataFrame, shown: int = 20) -> DataFrame:
+def crate_cards(crates: DataFrame, files: DataFrame, shown: int = 20) -> DataFrame:
     """Crate headers with the first public names in order: ``crate, content``."""
+    parsed = extract.parsed(files, ["types", "traits"])
+    facts = cut(parsed.select("file_id", F.transform(F.filter("types", lambda t: t["kind"] == "struct"), lambda t: t["name"]).alias("structs"), F.transform("traits", lambda t: t["name"]).alias("traits")))
     of = files.select("file_id", "crate")
 
-    def names(facts: DataFrame, label: str) -> DataFrame:
-        once = facts.join(of, "file_id").select("crate", "name").distinct()
+    def names(column: str, label: str) -> DataFrame:
+        once = facts.select("file_id", F.explode(column).alias("name")).join(of, "file_id").select("crate", "name").distinct()
         few = stats.top_k_per_group(once, ["crate"], [F.asc("name")], shown)
         return few.groupBy("crate").agg(F.concat(F.lit(f"\n{label}: "), F.array_join(F.sort_array(F.collect_list("name")), ", ")).alias(label))
 
-    rows = _crate_lines(crates).join(names(types.where("kind = 'struct'"), "Structs"), "crate", "left").join(names(traits, "Traits"), "crate", "left")
+    rows = _crate_lines(crates).join(names("structs", "Structs"), "crate", "left").join(names("traits", "Traits"), "crate", "left")
     return rows.select("crate", lines(F.col("header"), F.lit("\n## Public API"), F.col("Structs"), F.col("Traits")).alias("content"))
 
 
@@ -164,7 +167,7 @@ def module_cards(files: DataFrame, modules: int | None = 100) -> DataFrame:
 
 def trait_cards(files: DataFrame) -> DataFrame:
     """Traits with their first implementors and method stubs."""
-    facts = extract.parsed(files, ["traits", "impls"]).join(files.select("file_id", "crate", "module"), "file_id")
+    facts = cut(extract.parsed(files, ["traits", "impls"])).join(files.select("file_id", "crate", "module"), "file_id")
     traits = facts.select("file_id", "crate", "module", F.explode("traits").alias("t")).select("file_id", "crate", "module", "t.*")
     bare = F.regexp_replace("i.trait_name", r"<[\s\S]*", "")
     impls = facts.select("file_id", F.explode("impls").alias("i")).where("i.trait_name is not null").select(F.regexp_extract(bare, r"(\w+)\z", 1).alias("name"), "file_id", F.col("i.for_type").alias("for_type")).distinct()

@@ -8,7 +8,7 @@ from tessella.functions import text as T
 from tessella.functions.paths import language_of
 from tessella.operators import chunk, graph, packing, tokenize
 from tessella.plans.text_queries import _STRIP
-from tessella.spark_util import latest_per_key, table
+from tessella.spark_util import cut, latest_per_key, table
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -63,8 +63,8 @@ def C4_C5_adaptive_chunk(s, d):
 @query()
 def C6_chunk_assemble(s, d):
     """Adaptive chunks with their features and the number of source lines they refer to that exist."""
-    chunks = chunk.with_features(chunk.adaptive(table(s, d, "documents"), "doc_id", "text"), F.concat(F.lit("Section "), F.col("chunk_index")))
-    refs = chunks.select("doc_id", "chunk_index", F.explode(T.source_references("content")).alias("r")).select("doc_id", "chunk_index", "r.*")
+    chunks = cut(chunk.with_features(chunk.adaptive(table(s, d, "documents"), "doc_id", "text"), F.concat(F.lit("Section "), F.col("chunk_index"))))
+    refs = chunks.where(F.col("content").contains("]()")).select("doc_id", "chunk_index", F.explode(T.source_references("content")).alias("r")).select("doc_id", "chunk_index", "r.*")
     hits = refs.join(graph.files_by_path(table(s, d, "src_file")), "file_path").groupBy("doc_id", "chunk_index").agg(F.count(F.lit(1)).alias("n_snippets"))
     return chunks.join(hits, ["doc_id", "chunk_index"], "left").fillna(0, ["n_snippets"])
 

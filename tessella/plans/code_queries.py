@@ -152,7 +152,7 @@ def T7_crate_header(s, d):
 
 @query()
 def T7_crate_card(s, d):
-    return render.crate_cards(table(s, d, "crate_info"), extract.facts(_once(s, d), "types"), extract.facts(_once(s, d), "traits"), _once(s, d))
+    return render.crate_cards(table(s, d, "crate_info"), _once(s, d))
 
 
 @query("""with e as (select distinct src, dst from (select name src, unnest(local_deps) dst from crate_info) where dst in (select name from crate_info)), o as (select src, string_agg(dst, ', ' order by dst) l from e group by 1)

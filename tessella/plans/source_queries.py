@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from tessella.functions import text as T
-from tessella.operators import stats
+from tessella.operators import packing, stats
 from tessella.sources import files, payloads, sinks
 from tessella.spark_util import shared_folder, table
 from tessella.streaming import payloads as streams
@@ -66,10 +66,11 @@ def S12_payload_candidates(s, d):
     return payloads.candidates(table(s, d, "documents"), "doc_id", "text")
 
 
-@query("select granularity, crate, count(*) as n, cast(sum(length(text)) as bigint) as n_chars from pack_item group by 1, 2")
+@query("""select granularity, m as max_tokens, count(*) as n, cast(sum(length(text)) as bigint) as n_chars from pack_item, (values (4096), (8192), (16384)) t(m) group by 1, 2""")
 def K3_variant_fanout(s, d):
-    sinks.variants(table(s, d, "pack_item").select("granularity", "crate", "item_id", "text"), path := _new(s), ("granularity", "crate"))
-    return files.table(s, path).groupBy("granularity", "crate").agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("text")).cast("long").alias("n_chars"))
+    items = packing.fan_out(table(s, d, "pack_item").select("granularity", "item_id", "text"))
+    sinks.variants(items, path := _new(s))
+    return files.table(s, path).groupBy("granularity", "max_tokens").agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("text")).cast("long").alias("n_chars"))
 
 
 @query("select length(content) + 82 as n_chars, count(*) as n from doc_chunk where content is not null group by 1")
