@@ -186,33 +186,46 @@ def _paired(windows: DataFrame, least: int, gram: int, crowd: int) -> DataFrame:
     return enough.select("tab_a", "id_a", "tab_b", "id_b", *[x.alias(f"{n}_{s}") for s in "ab" for n, x in (("from", F.col(f"c_{s}") - F.col("m.back")), ("to", F.col(f"c_{s}") + F.col("m.forth")))])
 
 
-def _crowded(windows: DataFrame, least: int, gram: int, crowd: int) -> DataFrame:
-    """For hashes that many windows hold: every span of just ``least`` characters around them that several records have, ``g, tab, id, at, lead``."""
-    many = windows.where(F.col("n") > crowd).select("tab", "id", "c", "before", "after")
+def _crowd(windows: DataFrame, crowd: int) -> tuple[DataFrame, DataFrame]:
+    """Windows of hashes that many hold, as classes with the same characters around: the members (``h, k, tab, id, origin``), and a row per class.
+
+    Copies of a text fall into the same classes, so what follows works on one of
+    them; ``origin`` is where a member's characters begin in its record.
+    """
+    many = windows.where(F.col("n") > crowd).select("h", F.xxhash64("before", "after").alias("k"), "tab", "id", "c", "before", "after")
+    members = many.select("h", "k", "tab", "id", (F.col("c") - F.length("before")).alias("origin")).distinct()
+    record = F.struct("tab", "id")
+    classes = many.groupBy("h", "k").agg(F.max("before").alias("before"), F.max("after").alias("after"), F.min(record).alias("low"), F.max(record).alias("high"))
+    return members, classes
+
+
+def _class_spans(classes: DataFrame, least: int) -> DataFrame:
+    """Every span of just ``least`` characters around a class's window that several records have: ``g, h, k, own, lead`` with the marks ``first`` of spans that no earlier one implies."""
 
     def spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for k in range(0, batch.num_rows, 512):
-                part = batch.slice(k, 512)
-                before = part.column(3).to_pylist()
-                points, bounds = code_points(pa.array([x + y for x, y in zip(before, part.column(4).to_pylist())], pa.string()))
+            for at in range(0, batch.num_rows, 512):
+                part = batch.slice(at, 512)
+                before = part.column(2).to_pylist()
+                points, bounds = code_points(pa.array([x + y for x, y in zip(before, part.column(3).to_pylist())], pa.string()))
                 if len(points) < least:
                     continue
                 hashes = gram_hashes(points, least)
                 start = np.arange(len(hashes))
                 number = np.searchsorted(bounds, start, "right") - 1
-                lengths = np.array([len(x) for x in before])
                 own = start - bounds[number]
-                keep = (start + least <= bounds[number + 1]) & (own <= lengths[number])
+                keep = (start + least <= bounds[number + 1]) & (own <= np.array([len(x) for x in before])[number])
                 number, own, start = number[keep], own[keep], start[keep]
                 lead = np.where(own > 0, points[start - 1].astype(np.int64), -1)
-                c = np.asarray(part.column(2))
                 rows = pa.array(number)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(hashes[start].view(np.int64)), part.column(0).take(rows), part.column(1).take(rows), pa.array((c[number] - lengths[number] + own).astype(np.int32)), pa.array(lead.astype(np.int32))], names=["g", "tab", "id", "at", "lead"]
+                    [pa.array(hashes[start].view(np.int64)), *[part.column(i).take(rows) for i in (0, 1)], pa.array(own.astype(np.int32)), pa.array(lead.astype(np.int32)), *[part.column(i).take(rows) for i in (4, 5)]], names=["g", "h", "k", "own", "lead", "low", "high"]
                 )
 
-    return many.mapInArrow(spans, "g long, tab string, id long, at int, lead int")
+    record = "struct<tab: string, id: bigint>"
+    grams = classes.select("h", "k", "before", "after", "low", "high").mapInArrow(spans, f"g long, h long, k long, own int, lead int, low {record}, high {record}")
+    common = grams.groupBy("g").agg(F.min("low").alias("_a"), F.max("high").alias("_b"), F.min("lead").alias("_x"), F.max("lead").alias("_y")).where("_a <> _b")
+    return grams.select("g", "h", "k", "own").join(common.select("g", F.expr("_x <> _y or _x = -1").alias("first")), "g")
 
 
 def shared_pairs(recs: DataFrame, least: int = LEAST, gram: int = GRAM, crowd: int = CROWD) -> DataFrame:
@@ -222,17 +235,19 @@ def shared_pairs(recs: DataFrame, least: int = LEAST, gram: int = GRAM, crowd: i
     no pairs; a record isn't paired with itself. Where a hash is held by more than
     ``crowd`` windows (a common opening, say), spans of the full length are compared
     by hash instead of window by window, so what is only nearly long enough never
-    forms pairs. A span whose preceding character is the same in all its records
+    forms pairs, and windows with the same characters around are compared as one
+    class, so copies are spread out only in the result. A span whose preceding character is the same in all its records
     follows from the one before it and is left out of that join.
     """
     windows = cut(shared_windows(recs, least, gram))
     few = _paired(windows, least, gram, crowd).select("tab_a", "id_a", "tab_b", "id_b")
-    grams = _crowded(windows, least, gram, crowd).distinct()
-    record = F.struct("tab", "id")
-    heads = grams.groupBy("g").agg(F.min(record).alias("_a"), F.max(record).alias("_b"), F.min("lead").alias("_x"), F.max("lead").alias("_y")).where("_a <> _b and (_x <> _y or _x = -1)").select("g")
-    held = grams.join(heads, "g").select("g", "tab", "id").distinct()
+    members, classes = _crowd(windows, crowd)
+    held = _class_spans(classes, least).where("first").select("g", "h", "k").distinct()
     a, b = held.alias("a"), held.alias("b")
-    many = a.join(b, (F.col("a.g") == F.col("b.g")) & _pair_order("a", "b")).select(*[F.col(f"{s}.{x}").alias(f"{x}_{s}") for s in "ab" for x in ("tab", "id")])
+    alike = a.join(b, (F.col("a.g") == F.col("b.g")) & (F.struct("a.h", "a.k") <= F.struct("b.h", "b.k"))).select(*[F.col(f"{s}.{x}").alias(f"{x}_{s}") for s in "ab" for x in "hk"]).distinct()
+    one, other = (members.select(F.col("h").alias(f"h_{s}"), F.col("k").alias(f"k_{s}"), F.struct("tab", "id").alias(f"r_{s}")).distinct() for s in "ab")
+    both = alike.join(one, ["h_a", "k_a"]).join(other, ["h_b", "k_b"]).where("r_a <> r_b").select(F.least("r_a", "r_b").alias("a"), F.greatest("r_a", "r_b").alias("b"))
+    many = both.select(*[F.col(f"{s}.{x}").alias(f"{x}_{s}") for s in "ab" for x in ("tab", "id")])
     return few.unionByName(many).distinct()
 
 
@@ -243,10 +258,11 @@ def shared_parts(recs: DataFrame, least: int = LEAST, gram: int = GRAM, crowd: i
     """
     windows = cut(shared_windows(recs, least, gram))
     few = _paired(windows, least, gram, crowd)
-    grams = _crowded(windows, least, gram, crowd)
-    record = F.struct("tab", "id")
-    common = grams.groupBy("g").agg(F.min(record).alias("_a"), F.max(record).alias("_b")).where("_a <> _b").select("g")
-    places = grams.join(common, "g", "left_semi").select("tab", "id", F.col("at").alias("from"), (F.col("at") + least).alias("to"))
+    members, classes = _crowd(windows, crowd)
+    common = _class_spans(classes, least).select("h", "k", "own").distinct()
+    island = F.col("own") - F.row_number().over(Window.partitionBy("h", "k").orderBy("own"))
+    runs = common.withColumn("_run", island).groupBy("h", "k", "_run").agg(F.min("own").alias("_low"), F.max("own").alias("_high"))
+    places = members.join(runs, ["h", "k"]).select("tab", "id", (F.col("origin") + F.col("_low")).alias("from"), (F.col("origin") + F.col("_high") + least).alias("to"))
     for s in "ab":
         places = places.unionByName(few.select(*[F.col(f"{x}_{s}").alias(x) for x in ("tab", "id", "from", "to")]))
     per = Window.partitionBy("tab", "id").orderBy("from", "to")

@@ -66,6 +66,17 @@ def test_hot_opening_makes_no_pairs(spark):
     assert [(r.id_a, r.id_b) for r in spans.shared_pairs(df).collect()] == [(0, 120)]
 
 
+def test_many_copies(spark):
+    rnd = random.Random(9)
+    text = "".join(rnd.choice("abcdefgh ") for _ in range(900))
+    records = [(("documents", k), text) for k in range(60)] + [(("doc_chunk", 1), "x" + text[300:620]), (("doc_chunk", 2), text[300:499])]
+    df = frame(spark, records)
+    pairs = spans.shared_pairs(df).collect()
+    assert len(pairs) == 60 * 59 // 2 + 60 and len(set(pairs)) == len(pairs)
+    parts = {(r.tab, r.id): (r.shared_chars, r.n_spans) for r in spans.shared_parts(df).collect()}
+    assert parts["documents", 7] == (900, 1) and parts["doc_chunk", 1] == (320, 1) and parts["doc_chunk", 2] == (0, 0)
+
+
 def test_odd_records(spark):
     docs = spark.createDataFrame([(1, None), (2, ""), (3, "x" * 199), (None, "y" * 300), (4, "z" * 500), (4, "z" * 500)], "doc_id long, text string")
     chunks = spark.createDataFrame([(4, "z" * 250), (4, "z" * 250), (5, "z" * 199)], "chunk_id long, content string")
