@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tessella.functions import paths as P
 from tessella.functions.text import lines_between
 from tessella.operators import extract, graph, mining, render
+from tessella.plans.relational_queries import _SCORED
 from tessella.spark_util import cut, table
 
 QUERIES: dict = {}
@@ -47,10 +48,10 @@ def E10_schema_macros(s, d):
 
 @query()
 def E11_attributed_enums(s, d):
-    """Enums with a given attribute and the storage type it names."""
-    enums = extract.facts(_once(s, d), "types").where("kind = 'enum'")
+    """Enums and structs with a given attribute and the first name in it."""
+    enums = extract.facts(_once(s, d), "types")
     with_it = enums.withColumn("attribute", F.explode(F.filter("attributes", lambda a: a.contains("derive("))))
-    return with_it.select("file_id", "name", "line", "attribute", F.regexp_extract("attribute", r"\((\w+)", 1).alias("storage_type"))
+    return with_it.select("file_id", "kind", "name", "line", "attribute", F.regexp_extract("attribute", r"\((\w+)", 1).alias("storage_type"))
 
 
 @query(r"""with f as (select file_id, max(code) code from src_file where code is not null group by 1),
@@ -128,12 +129,28 @@ def T3_fim(s, d):
     return rows.select("file_id", "start_line", "name", render.fim(F.regexp_extract("full_text", r"\{[\s\S]*", 0)).alias("content"))
 
 
-@query()
+_EDGES = f"""f as (select * from {_F}), e as (select distinct caller_file_id, caller_line, callee_name, call_kind, call_line from fn_call where callee_name not in {graph.COMMON_CALLS}),
+    pl as (select file_id, start_line, min(name) n, min(file_path) p from f group by 1, 2),
+    o as (select *, row_number() over (partition by caller_file_id, caller_line order by call_line, callee_name, call_kind) k, count(*) over (partition by caller_file_id, caller_line) c from e),
+    i as (select e.callee_name, pl.n, pl.p, e.call_line, row_number() over (partition by e.callee_name order by e.caller_file_id, e.call_line, pl.n) k, count(*) over (partition by e.callee_name) c
+        from e join pl on pl.file_id = e.caller_file_id and pl.start_line = e.caller_line)"""
+_GLYPH = "case when k = c then '└─' else '├─' end"
+_MORE = "case when max(c) > 10 then chr(10) || '    ... and ' || (max(c) - 10) || ' more {}' else '' end"
+
+
+@query(f"""with {_EDGES}, ot as (select caller_file_id, caller_line, string_agg('  ├─→ ' || callee_name || ' (line ' || call_line || ')', chr(10) order by k) t from o where k <= 10 group by 1, 2),
+    it as (select callee_name, string_agg('  ←─┤ ' || n || ' (' || p || ':' || call_line || ')', chr(10) order by k) t from i where k <= 10 group by 1)
+    select file_id, start_line, name, array_to_string(list_filter(['[CALL_GRAPH]', name || ' (' || file_path || ':' || start_line || ')', ot.t, chr(10) || '[CALLED_BY]' || chr(10) || it.t], lambda x: x is not null), chr(10))
+        || chr(10) || chr(10) || {_CTX} || chr(10) || chr(10) || full_text as content
+    from f left join ot on ot.caller_file_id = file_id and ot.caller_line = start_line left join it on it.callee_name = name""")
 def T4_graph_prefix(s, d):
     return render.graph_samples(_functions(s, d), table(s, d, "fn_call")).select("file_id", "start_line", "name", "content")
 
 
-@query()
+@query(f"""with {_EDGES}, ot as (select caller_file_id, caller_line, string_agg({_GLYPH} || '→ ' || callee_name || ' (' || call_kind || ', line ' || call_line || ')', chr(10) order by k) || {_MORE.format('calls')} t from o where k <= 10 group by 1, 2),
+    it as (select callee_name, string_agg({_GLYPH} || '← ' || n || ' (' || p || ':' || call_line || ')', chr(10) order by k) || {_MORE.format('callers')} t from i where k <= 10 group by 1)
+    select file_id, start_line, name, array_to_string(list_filter([name, chr(10) || 'Calls:' || chr(10) || ot.t, chr(10) || 'Called by:' || chr(10) || it.t], lambda x: x is not null), chr(10)) as tree
+    from f left join ot on ot.caller_file_id = file_id and ot.caller_line = start_line left join it on it.callee_name = name""")
 def T5_ascii_tree(s, d):
     return render.call_trees(_functions(s, d), table(s, d, "fn_call"))
 
@@ -234,7 +251,10 @@ def T21_multi_level_cards(s, d):
     return mining.multi_level_cards(_once(s, d))
 
 
-@query()
+@query(f"""with top as (select file_id, start_line, name, weighted from ({_SCORED}) order by weighted desc, file_id, start_line, name limit 1000), r as (select f.*, top.weighted from {_F} f join top using (file_id, start_line, name))
+    select file_id, start_line, name, weighted, 'clm' as type, {_CTX} || chr(10) || chr(10) || full_text as content from r
+    union all select file_id, start_line, name, weighted, 'fim', '<fim_prefix>' || {_CTX} || chr(10) || chr(10) || signature || ' {{<fim_suffix>' || chr(10) || '}}<fim_middle>' || regexp_extract(full_text, '\\{{[\\s\\S]*') || '<|endoftext|>'
+    from r where regexp_extract(full_text, '\\{{[\\s\\S]*') <> ''""")
 def P10_important_functions(s, d):
     """The thousand functions with the highest weight, as plain and as fill-in-the-middle text."""
     scored = graph.importance(table(s, d, "fn_info"), table(s, d, "fn_call")).orderBy(F.desc("weighted"), "file_id", "start_line", "name").limit(1000)
