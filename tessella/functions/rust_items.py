@@ -233,10 +233,9 @@ class RustSource:
                 depth -= 1
                 if depth < 0:
                     return None
-            elif x == "<":
-                angle += 1
-            elif x == ">":
-                angle -= 1
+            elif x in "<>":
+                if depth == 0:  # within brackets they may be shifts or comparisons
+                    angle += 1 if x == "<" else -1
             elif x == "{":
                 if depth == 0 and angle <= 0:
                     return m.start()

@@ -7,7 +7,7 @@ left joins keep them with null or zero on the other side.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessella.functions.text import all_matches, lines_between
@@ -99,9 +99,9 @@ def dependency_locality(crates: DataFrame, prefixes: tuple[str, ...]) -> DataFra
 
 
 def trait_impls(functions: DataFrame) -> DataFrame:
-    """Trait implementations seen on methods: ``trait`` (without generics), ``for_type, crate, file_id`` and the rank ``k`` within the trait."""
-    once = functions.where("impl_context.trait_name is not null").select("file_id", "crate", F.regexp_replace("impl_context.trait_name", r"<[\s\S]*", "").alias("trait"), F.col("impl_context.for_type").alias("for_type")).distinct()
-    return once.withColumn("k", F.row_number().over(Window.partitionBy("trait").orderBy("file_id", "for_type")))
+    """Trait implementations seen on methods, each once: ``trait`` (without generics), ``for_type, crate, file_id``."""
+    named = functions.where("impl_context.trait_name is not null")
+    return named.select("file_id", "crate", F.regexp_replace("impl_context.trait_name", r"<[\s\S]*", "").alias("trait"), F.col("impl_context.for_type").alias("for_type")).distinct()
 
 
 def importing_files(deps: DataFrame, files: DataFrame) -> DataFrame:

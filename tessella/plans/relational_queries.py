@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tessella.functions import paths as P
@@ -98,7 +98,10 @@ def J7_crate_modules(s, d):
          r as (select *, row_number() over (partition by trait order by file_id, for_type) k from i)
     select trait, count(*) as n_impls, string_agg(for_type, ', ' order by k) filter (k <= 10) as first_types from r group by 1""")
 def J8_trait_impls(s, d):
-    return graph.trait_impls(table(s, d, "fn_info")).groupBy("trait").agg(F.count(F.lit(1)).alias("n_impls"), F.array_join(F.transform(F.sort_array(F.collect_list(F.when(F.col("k") <= 10, F.struct("k", "for_type")))), lambda x: x["for_type"]), ", ").alias("first_types"))
+    impls = graph.trait_impls(table(s, d, "fn_info"))
+    first = stats.top_k_per_group(impls.select("trait", "file_id", "for_type"), ["trait"], [F.asc("file_id"), F.asc("for_type")], 10)
+    shown = first.groupBy("trait").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("k", "for_type"))), lambda x: x["for_type"]), ", ").alias("first_types"))
+    return impls.groupBy("trait").agg(F.count(F.lit(1)).alias("n_impls")).join(shown, "trait")
 
 
 @query("""
@@ -392,10 +395,6 @@ def P11_crate_graph(s, d):
     return graph.crate_summary(table(s, d, "crate_info"))
 
 
-def _rows(df: DataFrame) -> DataFrame:
-    return df
-
-
 @query("""with d as (select name crate, unnest(list_distinct(coalesce(local_deps, []) || coalesce(external_deps, []))) dep from crate_info)
     select crate, dep, dep in (select name from crate_info) or starts_with(dep, 'brindle_') as is_local from d""")
 def X22_dep_locality(s, d):

@@ -74,6 +74,12 @@ def test_odd_texts():
         assert names == {"}}}} fn ok() {}": ["ok"], "é fn naïve() {}": [], "\r\nfn crlf() {}\r\n": ["crlf"]}.get(code, [])
 
 
+def test_signatures_with_expressions():
+    code = "fn a() -> [u8; 1 << 3] { x() }\nfn b<const N: usize = { 1 }>(x: Foo<{ 2 > 1 }>) -> Foo<{ N }> where [(); N]: Sized { }\nunsafe extern \"C\" fn c();\npub(in crate::x) const unsafe extern \"C\" fn d() {}\nfn e(f: fn(u8) -> u8) -> impl Fn() -> u8 + 'static { f }"
+    assert [f["name"] for f in RustSource(code).functions()] == ["a", "b", "d", "e"]
+    assert RustSource(code).functions()[2]["visibility"] == "pub(in crate::x)"
+
+
 def test_split_top():
     assert split_top("a, b<c, d>, fn(e, f) -> g,") == ["a", "b<c, d>", "fn(e, f) -> g"]
     assert split_top("") == []
