@@ -11,10 +11,13 @@ from pyspark.sql import functions as F
 
 #: White space as a character class that Java and RE2 read alike.
 SPACE = r"[\x{9}-\x{d}\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+#: The same characters, for trimming.
+SPACES = "".join(map(chr, [*range(0x9, 0xE), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
 NOT_SPACE = SPACE.replace("[", "[^", 1)
+#: White space within a line.
+GAP = SPACE.replace(r"\x{9}-\x{d}", r"\x{9}\x{b}-\x{d}")
 #: Lines only: ^ and $ stop at a line feed.
 LINES = "(?md)"
-EDGES = rf"\A{SPACE}+|{SPACE}+\z"
 #: Patterns without flags; the same text serves the SQL.
 TITLE = rf"^#{SPACE}+[^\n]+[\s\S]*"
 HEADING = rf"^(#{{1,3}}){SPACE}+([^\n]+)$"
@@ -22,7 +25,7 @@ SUBHEADING = rf"^#{{2,6}}{SPACE}+"
 FENCE = r"```([0-9A-Za-z_]*)\n([\s\S]*?)```"
 ANY_FENCE = r"```[\s\S]*?```"
 REFERENCE = r"\[([^\[\]:\n]+):([0-9]+)(?:-([0-9]+))?\]\(\)"
-MARKDOWN_SIGNS = (rf"^{SPACE}*#{{1,6}}{SPACE}+{NOT_SPACE}", rf"^{SPACE}*[-*]{SPACE}+{NOT_SPACE}", rf"^{SPACE}*[0-9]+\.{SPACE}+{NOT_SPACE}", r"```", r"\[[^\]]+\]\([^)]+\)", r"\n\n")
+MARKDOWN_SIGNS = (rf"^{GAP}*#{{1,6}}{SPACE}+{NOT_SPACE}", rf"^{GAP}*[-*]{SPACE}+{NOT_SPACE}", rf"^{GAP}*[0-9]+\.{SPACE}+{NOT_SPACE}", r"```", r"\[[^\]]+\]\([^)]+\)", r"\n\n")
 #: What tools write into the first lines of a file.
 GENERATED_MARKS = ("@generated", "auto-generated", "this file is generated", "do not edit")
 #: File extensions with another language name.
@@ -58,7 +61,7 @@ def all_matches(x: str | Column, pattern: str, groups: tuple[int, ...] = (1,)) -
 
 def strip(x: str | Column) -> Column:
     """Without white space at both ends."""
-    return F.regexp_replace(_col(x), EDGES, "")
+    return F.btrim(_col(x), F.lit(SPACES))
 
 
 def strip_preamble(x: str | Column) -> Column:

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tessella.functions import text as T
 
-_GAP = T.SPACE.replace(r"\x{9}-\x{d}", r"\x{9}\x{b}-\x{d}")
+_GAP = T.GAP
 RULE = "\n---\n"
 LEAST_CHARS = 100
 
