@@ -8,6 +8,7 @@ and one table of brace pairs find items in the text that is left.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from functools import cached_property
 
 _LITERAL = re.compile(
@@ -183,8 +184,16 @@ class RustSource:
                 pairs[stack.pop()] = m.end()
         return pairs
 
+    @cached_property
+    def _line_ends(self) -> list[int]:
+        return [m.start() for m in re.finditer("\n", self.code)]
+
+    @cached_property
+    def _doc_starts(self) -> list[int]:
+        return [d[0] for d in self.docs]
+
     def line(self, at: int) -> int:
-        return self.code.count("\n", 0, at) + 1
+        return bisect_left(self._line_ends, at) + 1
 
     def _before(self, start: int) -> int:
         """Behind the last brace or semicolon before ``start``: an item's attributes, documentation and qualifiers lie after it."""
@@ -202,7 +211,7 @@ class RustSource:
         return start - len(gap.lstrip()), (m["vis"] or "").strip() or "private", words
 
     def _documentation(self, start: int, end: int) -> str | None:
-        own = [d for a, _, d in self.docs if start <= a < end]
+        own = [d for _, _, d in self.docs[bisect_left(self._doc_starts, start) : bisect_left(self._doc_starts, end)]]
         return "\n".join(own) if own else None
 
     def _attributes(self, start: int, end: int) -> list[str]:
