@@ -105,13 +105,26 @@ def split_documents(docs: DataFrame, limit: int, overlap: int, key: str = "doc_i
     marked = F.regexp_replace(F.expr("substring(cuts, length(_a) + 1)"), f"({piece_pattern(later)})", "$1|")
     rest = F.filter(F.split(marked, "[|]"), lambda p: p != "")
     sizes = first.withColumn("_n", F.concat(F.array(F.length("_a")), F.transform(rest, F.length)))
-    stops = sizes.withColumn("_stops", F.expr("transform(_n, (x, i) -> aggregate(slice(_n, 1, i + 1), 0, (a, b) -> a + b))"))
-    back = f"length(rtrim('{UNSAFE}{NEVER}', substring(cuts, 1, _stops[i - 1] - {overlap})))" if overlap else "_stops[i - 1]"
-    near = f"if({back} < _stops[i - 1] - {overlap} - {slack}, length(rtrim('{NEVER}', substring(cuts, 1, _stops[i - 1] - {overlap}))), {back})" if overlap else back
-    pieces = stops.withColumn("_p", F.expr(f"transform(_stops, (x, i) -> struct(if(i = 0, 0, {near}) as a, x as b))"))
-    out = pieces.select("_key", "_text", "ends", F.size("_p").alias("n_pieces"), F.posexplode_outer("_p").alias("piece", "_q"))
-    start, stop = F.expr("if(_q.a = 0, 0, ends[_q.a - 1])"), F.expr("ends[_q.b - 1]")
-    return out.select(F.col("_key").alias(key), "piece", "n_pieces", start.alias("start_char"), stop.alias("end_char"), F.expr("_q.b - _q.a").alias("n_tokens"), F.substring("_text", start + 1, stop - start).alias("text"))
+    totals = F.expr("aggregate(_n, named_struct('at', 0, 'all', cast(array() as array<int>)), (s, n) -> named_struct('at', s.at + n, 'all', concat(s.all, array(s.at + n))), s -> s.all)")
+    stops = sizes.select("_key", "_text", "cuts", "ends", totals.alias("_stops"))
+    # where a piece begins: the overlap back, then at most a few letters on to a safe cut, else to any whole character
+    back = f"_stops[i - 1] - {overlap}"
+    near = f"substring(cuts, greatest({back} - 7, 1), least(8, {back}))"
+    safe, whole = (f"length({near}) - length(rtrim('{x}', {near}))" for x in (UNSAFE + NEVER, NEVER))
+    begin = f"{back} - if({safe} <= {slack}, {safe}, {whole})" if overlap else back
+    pieces = stops.withColumn("_a", F.expr(f"transform(_stops, (x, i) -> if(i = 0, 0, {begin}))"))
+    placed = pieces.select("_key", "_text", F.expr("transform(_a, x -> if(x = 0, 0, ends[x - 1]))").alias("_from"), F.expr("transform(_stops, x -> ends[x - 1])").alias("_to"), F.expr("zip_with(_stops, _a, (b, a) -> b - a)").alias("_sizes"))
+    cut = F.arrow_udf(_slices, "array<struct<a int, b int, n int, text string>>")("_text", "_from", "_to", "_sizes")
+    each = placed.select("_key", cut.alias("_p")).select(F.col("_key").alias(key), F.size("_p").alias("n_pieces"), F.posexplode_outer("_p").alias("piece", "_q"))
+    return each.select(key, "piece", "n_pieces", F.col("_q.a").alias("start_char"), F.col("_q.b").alias("end_char"), F.col("_q.n").alias("n_tokens"), F.col("_q.text").alias("text"))
+
+
+def _slices(batches: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
+    """The parts of each text between given places; a substring in the JVM would walk through the text from its start for each."""
+    kind = pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32()), ("n", pa.int32()), ("text", pa.string())]))
+    for texts, starts, stops, sizes in batches:
+        rows = zip(texts, starts.to_pylist(), stops.to_pylist(), sizes.to_pylist())
+        yield pa.array([[{"a": a, "b": b, "n": n, "text": t[a:b]} for a, b, n in zip(x, y, z)] for t, x, y, z in ((t.as_py(), x, y, z) for t, x, y, z in rows)], kind)
 
 
 def split_to_limit(docs: DataFrame, limits: DataFrame, granularity: str = "document") -> DataFrame:
