@@ -104,12 +104,14 @@ def split_documents(docs: DataFrame, limit: int, overlap: int, key: str = "doc_i
     # every match is marked and the string split, which is linear; collecting matches would copy the string for each
     marked = F.regexp_replace(F.expr("substring(cuts, length(_a) + 1)"), f"({piece_pattern(later)})", "$1|")
     rest = F.filter(F.split(marked, "[|]"), lambda p: p != "")
-    sizes = first.withColumn("_n", F.concat(F.array(F.length("_a")), F.transform(rest, F.length)))
-    totals = F.expr("aggregate(_n, named_struct('at', 0, 'all', cast(array() as array<int>)), (s, n) -> named_struct('at', s.at + n, 'all', concat(s.all, array(s.at + n))), s -> s.all)")
-    stops = sizes.select("_key", "_text", "cuts", "ends", totals.alias("_stops"))
-    # where a piece begins: the overlap back, then at most a few letters on to a safe cut, else to any whole character
+    parts = first.select("_key", "_text", "cuts", "ends", F.concat(F.array("_a"), rest).alias("_parts"))
+    totals = F.expr("aggregate(_parts, named_struct('at', 0, 'all', cast(array() as array<int>)), (s, p) -> named_struct('at', s.at + length(p), 'all', concat(s.all, array(s.at + length(p)))), s -> s.all)")
+    stops = parts.select("*", totals.alias("_stops"))
+    # where a piece begins: the overlap back, then at most a few letters on to a safe cut, else to any whole character;
+    # the letters before that place are taken from the piece before, where it is long enough to hold them
     back = f"_stops[i - 1] - {overlap}"
-    near = f"substring(cuts, greatest({back} - 7, 1), least(8, {back}))"
+    within = f"substring(_parts[i - 1], length(_parts[i - 1]) - {overlap + 7}, 8)"
+    near = f"if(length(_parts[i - 1]) >= {overlap + 8}, {within}, substring(cuts, greatest({back} - 7, 1), least(8, {back})))"
     safe, whole = (f"length({near}) - length(rtrim('{x}', {near}))" for x in (UNSAFE + NEVER, NEVER))
     begin = f"{back} - if({safe} <= {slack}, {safe}, {whole})" if overlap else back
     pieces = stops.withColumn("_a", F.expr(f"transform(_stops, (x, i) -> if(i = 0, 0, {begin}))"))
