@@ -132,4 +132,4 @@ def C11_fan_out(s, d):
 
 @query()
 def C12_truncate_tokenize(s, d):
-    return tokenize.truncated_ids(table(s, d, "documents"), "doc_id", "text", 256)
+    return tokenize.truncated_ids(table(s, d, "documents"), "doc_id", "text", 16384)
