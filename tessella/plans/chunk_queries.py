@@ -121,7 +121,7 @@ def C10_tag_pack(s, d):
     chunks = latest_per_key(table(s, d, "doc_chunk"), ["chunk_id"], ["content", "source_references"], ["ingested_at"])
     found = graph.snippets(chunks.select("chunk_id", "source_references"), table(s, d, "src_file")).where("code <> ''")
     gathered = found.groupBy("chunk_id").agg(F.sort_array(F.collect_set(F.struct("file_path", "start_line", "code", language_of(F.col("file_path")).alias("language")))).alias("snippets"))
-    return chunk.tagged_samples(chunks.join(gathered, "chunk_id", "left"), "chunk_id", 512)
+    return chunk.tagged_samples(chunks.join(gathered, "chunk_id", "left"), "chunk_id")
 
 
 @query("""with t as (""" + " union all ".join(f"select {m} as max_tokens, * from ({_PACK_SQL.format(m=m)})" for m in (4096, 8192, 16384)) + """) select max_tokens, granularity, crate, chunk, n_items, n_tokens from t""")

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from tessella import registry
-from tessella.operators import tokenize
+from tessella.operators import chunk, tokenize
 from tessella.spark_util import table
 from tests.compare import DATA
 
@@ -20,3 +20,17 @@ def test_token_ids_do_not_depend_on_slices(spark):
     got = {r.k: r.input_ids for r in tokenize.truncated_ids(df, "k", "t", 16384).collect()}
     want = {k: tokenize._tokenizer(tokenize.TOKENIZER).encode(t or "", add_special_tokens=False).ids[:16384] for k, t in enumerate(texts)}
     assert got == want and len(got[4]) == 16384
+
+
+def test_tagged_samples_keep_what_fits_8192(spark, tmp_path):
+    content = " ".join(["word"] * 1000) + "\n```rust\n" + "let a = 1;\n" * 200 + "```"
+    spark.createDataFrame([(1, content, None, 1)], "chunk_id long, content string, source_references array<struct<file_path: string, start_line: long, end_line: long>>, ingested_at long").write.parquet(str(tmp_path / "doc_chunk.parquet"))
+    spark.createDataFrame([], "file_path string, code string").write.parquet(str(tmp_path / "src_file.parquet"))
+    texts = [r.text for r in registry.queries()["C10_tag_pack"](spark, str(tmp_path)).collect()]
+    assert len(texts) == 1 and texts[0].count("word") == 1000 and texts[0].count("let a") == 200
+
+
+def test_tagged_samples_cut_at_a_small_limit(spark):
+    df = spark.createDataFrame([(1, " ".join(["word"] * 100) + "\n```rust\nlet a = 1;\n```", [])], "k long, content string, snippets array<struct<file_path: string, code: string, language: string>>")
+    text = chunk.tagged_samples(df, "k", 152).first().text
+    assert text.count("word") == 38 and "<code" not in text
