@@ -65,15 +65,24 @@ def _first(edges: DataFrame, key: list[str], order: list[str], shown: int = SHOW
     return few.groupBy(*key).agg(F.sort_array(F.collect_list(F.struct("k", *rest))).alias("first")).join(counts, key)
 
 
-def _with_calls(functions: DataFrame, calls: DataFrame) -> DataFrame:
-    """Adds the first calls a function makes and the first functions that call its name, with both counts."""
-    edges = graph.structural_calls(calls)
-    out = _first(edges.select(F.col("caller_file_id").alias("file_id"), F.col("caller_line").alias("start_line"), "call_line", "callee_name", "call_kind"), ["file_id", "start_line"], ["call_line", "callee_name", "call_kind"])
+def _made(edges: DataFrame) -> DataFrame:
+    """The edges by the function that makes the call."""
+    return edges.select(F.col("caller_file_id").alias("file_id"), F.col("caller_line").alias("start_line"), "call_line", "callee_name", "call_kind")
+
+
+def _with_callers(functions: DataFrame, edges: DataFrame) -> DataFrame:
+    """Adds the first functions that call a function's name, and their number."""
     places = functions.groupBy("file_id", "start_line").agg(F.min("name").alias("caller"), F.min("file_path").alias("caller_path"))
     named = edges.select(F.col("callee_name").alias("name"), F.col("caller_file_id").alias("file_id"), F.col("caller_line").alias("start_line"), "call_line").join(places, ["file_id", "start_line"])
     into = _first(named.select("name", F.col("file_id").alias("from_file"), F.col("call_line").alias("from_line"), "caller", "caller_path"), ["name"], ["from_file", "from_line", "caller"])
-    rows = functions.join(out.withColumnsRenamed({"first": "calls", "n": "n_calls"}), ["file_id", "start_line"], "left")
-    return rows.join(into.withColumnsRenamed({"first": "callers", "n": "n_callers"}), "name", "left").fillna(0, ["n_calls", "n_callers"])
+    return functions.join(into.withColumnsRenamed({"first": "callers", "n": "n_callers"}), "name", "left").fillna(0, ["n_callers"])
+
+
+def _with_calls(functions: DataFrame, calls: DataFrame) -> DataFrame:
+    """Adds the first calls a function makes and the first functions that call its name, with both counts."""
+    edges = graph.structural_calls(calls)
+    out = _first(_made(edges), ["file_id", "start_line"], ["call_line", "callee_name", "call_kind"])
+    return _with_callers(functions, edges).join(out.withColumnsRenamed({"first": "calls", "n": "n_calls"}), ["file_id", "start_line"], "left").fillna(0, ["n_calls"])
 
 
 def graph_samples(functions: DataFrame, calls: DataFrame) -> DataFrame:
@@ -99,21 +108,22 @@ def call_trees(functions: DataFrame, calls: DataFrame) -> DataFrame:
     return rows.select("file_id", "start_line", "name", lines(F.col("name"), F.concat(F.lit("\nCalls:\n"), out), F.concat(F.lit("\nCalled by:\n"), into)).alias("tree"))
 
 
-def _some(names: Column, shown: int) -> Column:
-    n = F.size(names)
-    more = F.when(n > shown, F.concat(F.lit(", and "), (n - shown).cast("string"), F.lit(" others"))).otherwise("")
-    return F.when(n > 0, F.concat(F.array_join(F.slice(names, 1, shown), ", "), more))
+def _some(names: Column, total: Column, shown: int) -> Column:
+    more = F.when(total > shown, F.concat(F.lit(", and "), (total - shown).cast("string"), F.lit(" others"))).otherwise("")
+    return F.when(total > 0, F.concat(F.array_join(F.slice(names, 1, shown), ", "), more))
 
 
 def flow_sentences(functions: DataFrame, calls: DataFrame) -> DataFrame:
-    """``file_id, start_line, name, sentence``: what a function is, calls, and is called by (of its first ten calls each)."""
-    rows = _with_calls(functions, calls)
+    """``file_id, start_line, name, sentence``: what a function is, calls (the first five direct and method calls of all, with the number of others), and is called by."""
+    edges = graph.structural_calls(calls)
+    by_kind = _first(_made(edges.where(F.col("call_kind").isin("direct", "method"))), ["file_id", "start_line", "call_kind"], ["call_line", "callee_name"], 5)
+    of = lambda k: F.max(F.when(F.col("call_kind") == k, _some(F.transform("first", lambda c: c["callee_name"]), F.col("n"), 5)))
+    made = by_kind.groupBy("file_id", "start_line").agg(of("direct").alias("direct"), of("method").alias("method"))
+    rows = _with_callers(functions, edges).join(made, ["file_id", "start_line"], "left")
     kind = F.when(F.col("is_async"), F.lit("async function")).otherwise(F.lit("function"))
     where = F.when(F.col("in_impl") & F.col("trait_name").isNotNull(), F.concat(F.lit(" implementing "), "trait_name", F.lit(" for "), "for_type")).when(F.col("in_impl"), F.concat(F.lit(" defined in the implementation of "), "for_type")).otherwise("")
-    of = lambda k: _some(F.transform(F.filter("calls", lambda c: c["call_kind"] == k), lambda c: c["callee_name"]), 5)
-    does = F.nullif(F.concat_ws(" and ", F.concat(F.lit("calls "), of("direct")), F.concat(F.lit("invokes methods "), of("method"))), F.lit(""))
-    by = F.col("n_callers")
-    callers = F.concat(F.array_join(F.slice(F.transform("callers", lambda c: c["caller"]), 1, 3), ", "), F.when(by > 3, F.concat(F.lit(", and "), (by - 3).cast("string"), F.lit(" others"))).otherwise(""))
+    does = F.nullif(F.concat_ws(" and ", F.concat(F.lit("calls "), "direct"), F.concat(F.lit("invokes methods "), "method")), F.lit(""))
+    callers = _some(F.transform("callers", lambda c: c["caller"]), F.col("n_callers"), 3)
     sentence = F.concat_ws(" ", F.concat("name", F.lit(" is a "), "visibility", F.lit(" "), kind, where, F.lit(".")), F.concat(F.lit("It "), does, F.lit(".")), F.concat(F.lit("This function is called by "), callers, F.lit(".")))
     return rows.select("file_id", "start_line", "name", sentence.alias("sentence"))
 

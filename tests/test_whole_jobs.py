@@ -3,9 +3,10 @@
 from pyspark.sql import functions as F
 
 from tessella import registry
-from tessella.operators import chunk, tokenize
+from tessella.operators import chunk, render, tokenize
 from tessella.spark_util import table
 from tests.compare import DATA
+from tests.test_render import context_of
 
 
 def test_token_ids_of_whole_texts(spark):
@@ -34,3 +35,11 @@ def test_tagged_samples_cut_at_a_small_limit(spark):
     df = spark.createDataFrame([(1, " ".join(["word"] * 100) + "\n```rust\nlet a = 1;\n```", [])], "k long, content string, snippets array<struct<file_path: string, code: string, language: string>>")
     text = chunk.tagged_samples(df, "k", 152).first().text
     assert text.count("word") == 38 and "<code" not in text
+
+
+def test_flow_sentences_of_all_calls(spark):
+    calls = [(2, 1, f"x{k:02}", "direct", 10 + k) for k in range(12)] + [(2, 1, f"m{k}", "method", 40 + k) for k in range(6)] + [(1, 9, f"y{k}", "method", 10 + k) for k in range(5)]
+    edges = spark.createDataFrame(calls, "caller_file_id long, caller_line long, callee_name string, call_kind string, call_line long")
+    said = {r.name: r.sentence for r in render.flow_sentences(context_of(spark), edges).collect()}
+    assert said["gamma"].endswith("It calls x00, x01, x02, x03, x04, and 7 others and invokes methods m0, m1, m2, m3, m4, and 1 others.")
+    assert said["beta"].endswith("It invokes methods y0, y1, y2, y3, y4.") and said["alpha"] == "alpha is a pub function."
