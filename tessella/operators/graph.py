@@ -39,10 +39,22 @@ def structural_calls(calls: DataFrame) -> DataFrame:
 
 def snippets(chunks: DataFrame, files: DataFrame) -> DataFrame:
     """Every reference of a chunk with the lines it names; references to missing files are dropped."""
-    refs = chunks.select("chunk_id", F.explode("source_references").alias("r")).select("chunk_id", "r.*")
+    return referenced_lines(chunks.select("chunk_id", F.explode("source_references").alias("r")).select("chunk_id", "r.*"), files)
+
+
+def referenced_lines(refs: DataFrame, files: DataFrame) -> DataFrame:
+    """Adds ``code``, the lines from ``start_line`` to ``end_line`` of ``file_path``, empty behind the file's end; references to missing files are dropped."""
     return refs.join(files_by_path(files), "file_path").withColumn("code", lines_between("code", F.col("start_line"), F.col("end_line")))
 
 
+def functions_in(ranges: DataFrame, functions: DataFrame) -> DataFrame:
+    """``file_path, start_line, end_line`` of each range with the functions that lie in it as ``file_id, line, name``; a missing end is told by the text's lines."""
+    text_end = F.col("start_line") + F.size(F.split("full_text", "\n")) - 1
+    places = functions.groupBy("file_path", "file_id", F.col("start_line").alias("line"), "name").agg(F.max(F.coalesce("end_line", text_end)).alias("_last"))
+    hit = ranges.select("file_path", "start_line", "end_line").distinct().join(places, "file_path")
+    return hit.where("line between start_line and end_line and coalesce(_last, line) <= end_line").drop("_last")
+
+
 def call_counts(functions: DataFrame, calls: DataFrame, columns: list[str | Column] | None = None) -> DataFrame:
     """Functions with how many calls they make and how many name them. Both counts are aggregated before the join, so a name that most calls have is one row."""
     edges = structural_calls(calls)

@@ -128,6 +128,17 @@ def flow_sentences(functions: DataFrame, calls: DataFrame) -> DataFrame:
     return rows.select("file_id", "start_line", "name", sentence.alias("sentence"))
 
 
+def call_data(functions: DataFrame, calls: DataFrame) -> DataFrame:
+    """Of each function all calls it makes, the first ten functions that call its name, both numbers, tree and sentence: ``file_id, file_path, start_line, name, calls, called_by, n_calls, n_callers, tree, sentence``."""
+    key = ["file_id", "start_line", "name"]
+    edges = graph.structural_calls(calls)
+    made = _made(edges).groupBy("file_id", "start_line").agg(F.sort_array(F.collect_list(F.struct("call_line", "callee_name", "call_kind"))).alias("calls"))
+    rows = _with_callers(functions, edges).join(made, ["file_id", "start_line"], "left")
+    n_calls = F.coalesce(F.size("calls"), F.lit(0)).cast("long")
+    told = rows.select(*key, "file_path", "calls", F.transform("callers", lambda c: F.struct(c["caller"].alias("name"), c["caller_path"].alias("file_path"), c["from_line"].alias("line"))).alias("called_by"), F.greatest(n_calls, F.lit(0)).alias("n_calls"), "n_callers")
+    return told.distinct().join(call_trees(functions, calls).distinct(), key).join(flow_sentences(functions, calls).distinct(), key)
+
+
 def _crate_lines(crates: DataFrame) -> DataFrame:
     by = graph.crate_edges(crates).groupBy(F.col("dst").alias("name")).agg(F.array_join(F.sort_array(F.collect_set("src")), ", ").alias("_by"))
     header = lines(F.concat(F.lit("// CRATE: "), "name"), when_text("// PURPOSE: ", F.col("purpose")), when_text("// DEPENDS_ON: ", F.array_join("local_deps", ", ")), F.concat(F.lit("// DEPENDED_BY: "), "_by"))

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tessella.functions import text as T
 from tessella.functions.paths import language_of
-from tessella.operators import chunk, graph, packing, tokenize
+from tessella.operators import chunk, graph, packing, render, tokenize
 from tessella.plans.text_queries import _STRIP
 from tessella.spark_util import cut, latest_per_key, table
 
@@ -62,11 +62,17 @@ def C4_C5_adaptive_chunk(s, d):
 
 @query()
 def C6_chunk_assemble(s, d):
-    """Adaptive chunks with their features and the number of source lines they refer to that exist."""
+    """Adaptive chunks with their features, the source lines they refer to, and the call data of the functions in those."""
+    key, at = ["doc_id", "chunk_index"], ["file_path", "start_line", "end_line"]
     chunks = cut(chunk.with_features(chunk.adaptive(table(s, d, "documents"), "doc_id", "text"), F.concat(F.lit("Section "), F.col("chunk_index"))))
-    refs = chunks.where(F.col("content").contains("]()")).select("doc_id", "chunk_index", F.explode(T.source_references("content")).alias("r")).select("doc_id", "chunk_index", "r.*")
-    hits = refs.join(graph.files_by_path(table(s, d, "src_file")), "file_path").groupBy("doc_id", "chunk_index").agg(F.count(F.lit(1)).alias("n_snippets"))
-    return chunks.join(hits, ["doc_id", "chunk_index"], "left").fillna(0, ["n_snippets"])
+    refs = chunks.where(F.col("content").contains("]()")).select(*key, F.posexplode(T.source_references("content")).alias("place", "r")).select(*key, "place", "r.*").distinct()
+    found = cut(graph.referenced_lines(refs, table(s, d, "src_file")).where("code <> ''").withColumn("n_tokens", T.token_count("code")))
+    snippets = found.groupBy(*key).agg(F.count(F.lit(1)).alias("n_snippets"), F.sort_array(F.collect_list(F.struct("place", *at, "code", "n_tokens"))).alias("snippets"))
+    within = graph.functions_in(found, table(s, d, "fn_info"))
+    functions = render.functions_once(table(s, d, "fn_info"))
+    told = within.join(render.call_data(functions, table(s, d, "fn_call")).withColumnRenamed("start_line", "line").drop("file_path"), ["file_id", "line", "name"])
+    graphs = found.select(*key, "place", *at).join(told, at).groupBy(*key).agg(F.sort_array(F.collect_list(F.struct("place", "file_path", "line", "name", "n_calls", "n_callers", "calls", "called_by", "tree", "sentence"))).alias("call_graph_data"))
+    return chunks.join(snippets, key, "left").join(graphs, key, "left").fillna(0, ["n_snippets"])
 
 
 def _items(s, d):

@@ -6,7 +6,7 @@ from tessella import registry
 from tessella.operators import chunk, render, tokenize
 from tessella.spark_util import table
 from tests.compare import DATA
-from tests.test_render import context_of
+from tests.test_render import calls_of, context_of, functions_of
 
 
 def test_token_ids_of_whole_texts(spark):
@@ -43,3 +43,18 @@ def test_flow_sentences_of_all_calls(spark):
     said = {r.name: r.sentence for r in render.flow_sentences(context_of(spark), edges).collect()}
     assert said["gamma"].endswith("It calls x00, x01, x02, x03, x04, and 7 others and invokes methods m0, m1, m2, m3, m4, and 1 others.")
     assert said["beta"].endswith("It invokes methods y0, y1, y2, y3, y4.") and said["alpha"] == "alpha is a pub function."
+
+
+def test_chunks_hold_the_lines_and_calls_they_refer_to(spark, tmp_path):
+    text = "# Head\n" + "prose " * 30 + "\n[c/a.rs:3-5]() [c/a.rs:100-200]() [d/b.rs:1]() [none.rs:1]()"
+    spark.createDataFrame([(7, text)], "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    code = "// a\n\npub fn alpha() {\n    beta()\n}\n\n\n\nasync fn beta() {}\n"
+    spark.createDataFrame([("c/a.rs", code), ("c/a.rs", code), ("d/b.rs", "fn gamma() {\n}\n")], "file_path string, code string").write.parquet(str(tmp_path / "src_file.parquet"))
+    functions_of(spark).withColumn("end_line", F.when(F.col("name") == "alpha", F.lit(5)).when(F.col("name") == "gamma", F.lit(2)).cast("long")).write.parquet(str(tmp_path / "fn_info.parquet"))
+    calls_of(spark).write.parquet(str(tmp_path / "fn_call.parquet"))
+    (row,) = registry.queries()["C6_chunk_assemble"](spark, str(tmp_path)).collect()
+    assert row.n_snippets == 2
+    assert [(x.file_path, x.start_line, x.code) for x in row.snippets] == [("c/a.rs", 3, "pub fn alpha() {\n    beta()\n}\n"), ("d/b.rs", 1, "fn gamma() {\n")]
+    (graph,) = row.call_graph_data  # gamma doesn't end in its range
+    assert (graph.name, graph.n_calls, graph.n_callers, [c.callee_name for c in graph.calls]) == ("alpha", 2, 0, ["beta", "push"])
+    assert graph.tree.startswith("alpha\n\nCalls:\n├─→ beta") and graph.sentence.startswith("alpha is a pub function. It calls beta")
