@@ -9,7 +9,7 @@ Items with null tokens count 0; ties of the order go by the item's key.
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 BLOCK = 100_000
@@ -56,6 +56,13 @@ def chunk_sizes(packed: DataFrame, group: list[str]) -> DataFrame:
     return packed.groupBy(*group, "block", "chunk").agg(F.count(F.lit(1)).alias("n_items"), F.sum("n_tokens").alias("n_tokens"), F.bool_or("oversize").alias("oversize"))
 
 
+def numbered_through(sizes: DataFrame, group: list[str]) -> DataFrame:
+    """``sizes`` of chunks with ``chunk`` counted on from block to block, so that it tells the chunks of a group apart; only one row per block is ordered."""
+    blocks = sizes.groupBy(*group, "block").agg((F.max("chunk") + 1).alias("_n"))
+    before = blocks.withColumn("_before", F.sum("_n").over(Window.partitionBy(*group).orderBy("block")) - F.col("_n")).drop("_n")
+    return sizes.join(before, [*group, "block"]).withColumn("chunk", F.col("chunk") + F.col("_before")).select(*sizes.columns)
+
+
 def split_lines(text: Column, most: int, per_line: bool) -> Column:
     """Parts of an oversize text at line ends as structs of ``text, n_tokens``.
 
@@ -79,26 +86,33 @@ def split_lines(text: Column, most: int, per_line: bool) -> Column:
     return F.aggregate(F.split(text, "\n"), first, step, last)
 
 
-def pack_small_files(files: DataFrame, small: int = 2000, full: int = 4000, block: int = BLOCK) -> DataFrame:
-    """Per crate, files under ``small`` tokens, largest first, gathered until ``full`` is reached: ``crate, block, chunk, seq, file_id, n_tokens``; a rest under ``small`` is dropped."""
+def pack_small_files(files: DataFrame, small: int = 2000, full: int = 4000) -> DataFrame:
+    """Per crate, files under ``small`` tokens, largest first, gathered until ``full`` is reached: ``crate, chunk, seq, file_id, n_tokens``; a rest under ``small`` is dropped.
+
+    Files of equal tokens take their places by rank, so the fold of a crate is over
+    its distinct sizes, fewer than ``small``, however many files it has.
+    """
     few = files.where(F.col("n_tokens") < small).select("crate", "seq", "file_id", "n_tokens")
-    counts = few.groupBy("crate").agg(F.count(F.lit(1)).alias("_n"))
-    spread = few.join(counts, "crate").withColumn("block", F.pmod(F.xxhash64("file_id"), F.ceil(F.col("_n") / F.lit(block)))).drop("_n")
-    # before each add the sum is under full: the chunk is where the running sum last passed a multiple, found by a fold
-    ddl = ", ".join(f"`{n}` {t}" for n, t in spread.dtypes) + ", chunk long"
+    sizes = few.groupBy("crate", "n_tokens").agg(F.count(F.lit(1)).alias("_n"))
+    ddl = ", ".join(f"`{n}` {t}" for n, t in sizes.dtypes) + ", _chunk long, _room long, _each long, _end long"
 
     def fold(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["n_tokens", "seq", "file_id"], ascending=[False, True, True], ignore_index=True)
-        chunk, total, numbers = 0, 0, []
-        for t in rows["n_tokens"].tolist():
-            total += t
-            numbers.append(chunk)
-            if total >= full:
-                chunk, total = chunk + 1, 0
-        rows = rows.assign(chunk=numbers)
-        return rows[rows["chunk"] < chunk] if total < small else rows
-
-    return spread.groupBy("crate", "block").applyInPandas(fold, ddl)
+        rows = rows.sort_values("n_tokens", ascending=False, ignore_index=True)
+        chunk, total, states = 0, 0, []
+        for t, n in zip(rows["n_tokens"].tolist(), rows["_n"].tolist()):
+            room, each = (-(-(full - total) // t), -(-full // t)) if t else (n + 1, n + 1)  # files that fill the open chunk, and a new one
+            states.append((chunk, room, each))
+            if n < room:
+                total += n * t
+            else:
+                chunk, total = chunk + 1 + (n - room) // each, (n - room) % each * t
+        rows[["_chunk", "_room", "_each"]] = states
+        return rows.assign(_end=chunk if total < small else chunk + 1)
+
+    places = sizes.groupBy("crate").applyInPandas(fold, ddl).drop("_n")
+    ranked = few.withColumn("_k", F.row_number().over(Window.partitionBy("crate", "n_tokens").orderBy("seq", "file_id")) - 1)
+    chunk = F.when(F.col("_k") < F.col("_room"), F.col("_chunk")).otherwise(F.col("_chunk") + 1 + F.floor((F.col("_k") - F.col("_room")) / F.col("_each")))
+    return ranked.join(places, ["crate", "n_tokens"]).withColumn("chunk", chunk).where("chunk < _end").select("crate", "chunk", "seq", "file_id", "n_tokens")
 
 
 def fan_out(items: DataFrame, sizes: tuple[int, ...] = (4096, 8192, 16384)) -> DataFrame:

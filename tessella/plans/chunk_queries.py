@@ -93,7 +93,7 @@ _PACK_SQL = """
 def C7_pack_items(s, d):
     """Items of each granularity and crate in order, at most 512 tokens to a chunk; oversize items whole (their parts: C7_split_oversize)."""
     packed = packing.pack_in_order(_items(s, d), ["granularity", "crate"], ["seq", "item_id"], "n", 512)
-    return packing.chunk_sizes(packed, ["granularity", "crate"]).select("granularity", "crate", "chunk", "n_items", "n_tokens")
+    return packing.numbered_through(packing.chunk_sizes(packed, ["granularity", "crate"]), ["granularity", "crate"]).select("granularity", "crate", "chunk", "n_items", "n_tokens")
 
 
 def _split(s, d, per_line: bool):
@@ -133,7 +133,7 @@ def C10_tag_pack(s, d):
 @query("""with t as (""" + " union all ".join(f"select {m} as max_tokens, * from ({_PACK_SQL.format(m=m)})" for m in (4096, 8192, 16384)) + """) select max_tokens, granularity, crate, chunk, n_items, n_tokens from t""")
 def C11_fan_out(s, d):
     packed = packing.pack_in_order(packing.fan_out(_items(s, d)), ["granularity", "crate", "max_tokens"], ["seq", "item_id"], "n", "max_tokens")
-    return packing.chunk_sizes(packed, ["granularity", "crate", "max_tokens"]).select("max_tokens", "granularity", "crate", "chunk", "n_items", "n_tokens")
+    return packing.numbered_through(packing.chunk_sizes(packed, ["granularity", "crate", "max_tokens"]), ["granularity", "crate", "max_tokens"]).select("max_tokens", "granularity", "crate", "chunk", "n_items", "n_tokens")
 
 
 @query()

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from tessella import registry
-from tessella.operators import chunk, render, tokenize
+from tessella.operators import chunk, packing, render, tokenize
 from tessella.spark_util import table
 from tests.compare import DATA
 from tests.test_render import calls_of, context_of, functions_of
@@ -58,3 +58,26 @@ def test_chunks_hold_the_lines_and_calls_they_refer_to(spark, tmp_path):
     (graph,) = row.call_graph_data  # gamma doesn't end in its range
     assert (graph.name, graph.n_calls, graph.n_callers, [c.callee_name for c in graph.calls]) == ("alpha", 2, 0, ["beta", "push"])
     assert graph.tree.startswith("alpha\n\nCalls:\n├─→ beta") and graph.sentence.startswith("alpha is a pub function. It calls beta")
+
+
+def test_small_files_of_a_large_crate(spark):
+    sizes = [(k * 37) % 23 * (k % 5) * 20 for k in range(900)]
+    df = spark.createDataFrame([("c", k, k, n) for k, n in enumerate(sizes)] + [("d", 0, 0, 1999), ("d", 1, 1, 0)], "crate string, seq long, file_id long, n_tokens long")
+    want, chunk_, total = {}, 0, 0
+    for n, k in sorted((-n, k) for k, n in enumerate(sizes) if n < 2000):
+        want[k] = chunk_
+        total -= n
+        if total >= 4000:
+            chunk_, total = chunk_ + 1, 0
+    want = {k: c for k, c in want.items() if c < chunk_ or total >= 2000}
+    assert {(r.crate, r.file_id): r.chunk for r in packing.pack_small_files(df).collect()} == {("c", k): c for k, c in want.items()}
+
+
+def test_chunks_of_blocks_have_their_own_numbers(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(packing.pack_in_order, "__defaults__", (100,))
+    rows = [(k, "file", "c", k, "x" * 800, 1) for k in range(1000)]
+    spark.createDataFrame(rows, "item_id long, granularity string, crate string, seq long, text string, ingested_at long").write.parquet(str(tmp_path / "pack_item.parquet"))
+    for name, key in (("C7_pack_items", ["granularity", "crate"]), ("C11_fan_out", ["granularity", "crate", "max_tokens"])):
+        chunks = registry.queries()[name](spark, str(tmp_path)).toPandas()
+        assert not chunks.duplicated([*key, "chunk"]).any()
+        assert all(sorted(g.chunk) == list(range(len(g))) and g.n_items.sum() == 1000 for _, g in chunks.groupby(key))
