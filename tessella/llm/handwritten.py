@@ -1,52 +1,58 @@
 """Telling hand-written source from generated, minified and vendored files and blocks of data.
 
-Giveaways (markers in the first or last comment, telling paths) label a part of
-the files. One linear support-vector classifier per kind learns from a bounded
-sample of them how such files look with the giveaways masked, on hashed character
-n-grams and path components, and is judged on crates it has not seen. Files are
-then told by giveaway, by classifier, or as a copy of a vendored file.
+Giveaways (markers in the first or last comment, telling paths, code that is all
+literals) only label files for training. Per kind two
+linear support-vector classifiers learn from a bounded, weighted sample: one sees
+the code with its giveaways masked, as hashed character n-grams and path
+components, the other the words of the outer comments and all parts of the path.
+They are judged on crates they have not seen. A file is of a kind if one of the
+kind's classifiers says so, or if it is a copy of a file found to be vendored.
 """
 
 from __future__ import annotations
 
+import functools
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.ml.classification import LinearSVC
-from pyspark.ml.functions import vector_to_array
-from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import BooleanType, StructField, StructType
 
 from tessella.spark_util import cut
 
 KINDS = ("generated", "minified", "vendored", "data")
-#: Kinds that come without any giveaway as often as with one; tools and importers, in contrast, mark or place what they write.
-SILENT = ("minified",)
-#: Bounds of the training sample: files with a giveaway per kind, and files without any.
+#: The classifiers: a view of the file and a kind. Blocks of data carry no marks.
+MODELS = (*(("code", k) for k in KINDS), *(("marks", k) for k in KINDS if k != "data"))
+#: Bounds of the training sample: about as many files of each kind, and without any giveaway.
 SAMPLE_PER_KIND = 1_000
 SAMPLE_PLAIN = 2_500
-#: A classifier is used only if it finds this share of the giveaway files of unseen crates.
+#: Kinds that come without any giveaway as often as with one; tools and importers, in contrast, sign or place what they write.
+#: What looks like the files of such a kind is taken for it where at least the share ``SIGNED`` bears the giveaway.
+SILENT = ("minified",)
+SIGNED = 0.4
+#: A classifier is used only if it finds this share of the files with the giveaway in unseen crates; of what it finds there
+#: this share must have it (but for silent kinds), and its threshold is raised until it does.
+LEAST_FILES = 10
 LEAST_RECALL = 0.25
-#: Of what it finds there, this share has the giveaway (of kinds that aren't silent).
-LEAST_SHARE = 0.95
-GRAMS = (3, 5)
-BUCKETS = 1 << 14
-PATH_BUCKETS = 1 << 11
-SIZE = BUCKETS * len(GRAMS) + PATH_BUCKETS
+LEAST_SHARE = 0.98
+GRAM = 4
+BUCKETS = 1 << 13
+PATH_BUCKETS = 1 << 12
+WORD_BUCKETS = 1 << 16
+SIZES = {"code": BUCKETS + PATH_BUCKETS, "marks": WORD_BUCKETS}
 COPY_CHARS = 120
 
 _COMMENT = r"(?://[/!]*|/\*+!?|\*+|#+!?(?!\[)|--+|;|<!--)"
 #: How tools and importers mark files, at the start of a comment line.
 _TOOL = re.compile(
     r"(?im)^\s*" + _COMMENT + r"\s*(?:@generated\b|<auto-?generated|this file (?:is|was) (?:auto-?|automatically )?generated|auto-?generated\b[^\n]*\bfile\b|code generated by\b|generated (?:code|file)\b|output of \S+ v?\d|"
-    r"automatically (?:produced|generated) by|machine-(?:written|generated)|do not (?:modify|edit)\s*[:;,!-]|[^\n]*[;.] *do not edit\b|[^\n]*manual edits will be overwritten|[^\n]*changes (?:are|will be) lost)[^\n]*"
+    r"automatically (?:produced|generated) by|machine-(?:written|generated)|do not (?:modify|edit)\s*[:;,!-]|[^\n]*[;.] *do not edit\b)[^\n]*"
 )
-_IMPORTED = re.compile(r"(?im)^\s*" + _COMMENT + r"\s*(?:upstream:|this is (?:a )?third[- ]party (?:file|code)|taken verbatim from|local copy,? synced|(?:vendored|imported|copied) (?:from|unmodified)|[^\n]*imported unmodified|[^\n]*not maintained here|[^\n]*send fixes upstream)[^\n]*")
+_IMPORTED = re.compile(r"(?im)^\s*" + _COMMENT + r"\s*(?:upstream:|this is (?:a )?third[- ]party (?:file|code)|taken verbatim from|local copy,? synced|(?:vendored|imported|copied) (?:from|unmodified))[^\n]*")
 _HOLDER = re.compile(r"(?im)^\s*" + _COMMENT + r"\s*((?:copyright\b|\(c\)|©)[^\n]*)")
 _TOOL_PATH = re.compile(r"(?:^|/)(?:generated|__generated__|build/out|target/(?:debug|release)/build/[^/]+/out|gen)/|\.(?:gen|pb|generated|g)(?=\.[a-z]+$)|_bindings(?=\.rs$)")
 _MINIFIED_PATH = re.compile(r"[.-]min(?=\.(?:js|css|mjs)$)")
@@ -114,32 +120,48 @@ _PLAIN = np.arange(256, dtype=np.uint32)
 _PLAIN[48:58] = 48
 
 
-def features(path: str, code: str) -> tuple[np.ndarray, np.ndarray]:
-    """Indices and values (length 1 in all) of a file's hashed n-grams and path components."""
+def code_features(path: str, code: str) -> tuple[np.ndarray, np.ndarray]:
+    """Indices and values (length 1 in all) of a file's hashed n-grams and path components, giveaways masked."""
     import xxhash
 
     text, components = masked(path, code)
     data = _PLAIN[np.frombuffer(text, np.uint8)]
-    parts, values = [], []
-    for k, n in enumerate(GRAMS):
-        if len(data) < n:
-            continue
-        h = np.zeros(len(data) - n + 1, np.uint32)
-        for i in range(n):
-            h = h * np.uint32(16777619) ^ data[i : len(data) - n + 1 + i]
-        h = (h * np.uint32(2654435761)) >> np.uint32(18)
-        counts = np.bincount(h, minlength=BUCKETS)
-        there = np.flatnonzero(counts)
-        v = np.sqrt(counts[there])
-        parts.append(there + k * BUCKETS)
-        values.append(v / np.sqrt((v * v).sum()))
-    if components:
-        there = np.unique([xxhash.xxh32_intdigest(x) % PATH_BUCKETS for x in components])
-        parts.append(there + BUCKETS * len(GRAMS))
-        values.append(np.full(len(there), 0.5 / np.sqrt(len(there))))
-    if not parts:
+    if len(data) < GRAM:
         return np.zeros(0, np.int64), np.zeros(0)
-    return np.concatenate(parts), np.concatenate(values)
+    h = np.zeros(len(data) - GRAM + 1, np.uint32)
+    for i in range(GRAM):
+        h = h * np.uint32(16777619) ^ data[i : len(data) - GRAM + 1 + i]
+    counts = np.bincount((h * np.uint32(2654435761)) >> np.uint32(32 - BUCKETS.bit_length() + 1), minlength=BUCKETS)
+    there = np.flatnonzero(counts)
+    v = np.sqrt(counts[there])
+    names = np.unique([xxhash.xxh32_intdigest(x) % PATH_BUCKETS for x in components])
+    return np.concatenate([there, names + BUCKETS]), np.concatenate([v / np.sqrt((v * v).sum()), np.full(len(names), 0.5 / np.sqrt(len(names)))])
+
+
+_WORDS = re.compile(r"[^\W\d_]+|[@<(]")
+
+
+def mark_features(path: str, code: str) -> tuple[np.ndarray, np.ndarray]:
+    """Indices and values of how the lines of the outer comments begin (one word to five) and end (two), and of all parts of the path."""
+    import xxhash
+
+    names = set()
+    for comment in outer_comments(code):
+        for line in comment.lower().split("\n"):
+            words = _WORDS.findall(line)
+            names.update("^" + " ".join(words[:n]) for n in range(1, min(5, len(words)) + 1))
+            names.update([" ".join(words[-2:]) + "$"] if len(words) > 1 else [])
+    *folders, name = path.lower().split("/")
+    stem, *parts = name.split(".")
+    names.update(f"d:{x}" for x in folders if x)
+    names.update(f"d:{x}/{y}" for x, y in zip(folders, folders[1:]))
+    names.update(f"n:{x}" for x in (*parts, *re.findall(r"[_-]([a-z]+)\Z", stem)))
+    at = np.unique([xxhash.xxh32_intdigest(x) % WORD_BUCKETS for x in names])
+    return at.astype(np.int64), np.ones(len(at))
+
+
+#: What each view sees of a file.
+VIEWS = {"code": code_features, "marks": mark_features}
 
 
 def giveaways(files: DataFrame) -> DataFrame:
@@ -177,91 +199,134 @@ def with_foreign_holders(signs: DataFrame) -> DataFrame:
 
 @dataclass
 class Classifiers:
-    """Weights (one column per kind), offsets and thresholds; ``report`` has the judgement on unseen crates."""
+    """Weights (the constant last) of the classifiers in use by view and kind; ``report`` has the judgement of all on unseen crates."""
 
-    weights: np.ndarray
-    offsets: np.ndarray
-    thresholds: np.ndarray
+    weights: dict[tuple[str, str], np.ndarray]
     report: dict
 
 
-def _sample(files: DataFrame, signs: DataFrame) -> DataFrame:
-    """A bounded sample in a stable pseudo-random order: files with each giveaway, and files with none."""
-    marks = signs.select("file_id", "crate", *KINDS).dropDuplicates(["file_id"]).withColumn("_r", F.xxhash64("file_id", F.lit(3)))
-    plain = marks.where(~(F.col("generated") | F.col("minified") | F.col("vendored") | F.col("data"))).orderBy("_r").limit(SAMPLE_PLAIN)
-    chosen = plain
-    for kind in KINDS:
-        chosen = chosen.unionByName(marks.where(kind).orderBy("_r").limit(SAMPLE_PER_KIND))
-    chosen = chosen.dropDuplicates(["file_id"]).drop("_r")
-    code = files.where("code is not null").select(F.col("file_id").cast("long"), "file_path", "code")
-    return code.join(F.broadcast(chosen), "file_id")
+def _plain():
+    return ~(F.col("generated") | F.col("minified") | F.col("vendored") | F.col("data"))
 
 
-def train(files: DataFrame, signs: DataFrame, iterations: int = 20, regularisation: float = 1e-4) -> Classifiers:
-    """One linear support-vector classifier per kind, from at most ``SAMPLE_PER_KIND`` files per kind and ``SAMPLE_PLAIN`` plain ones.
+def _sample(files: DataFrame, signs: DataFrame) -> DataFrame:
+    """A bounded sample by a stable hash, about ``SAMPLE_PER_KIND`` files of each kind's giveaways and ``SAMPLE_PLAIN`` without any, with the ``weight`` that makes it stand for all files."""
+    group = F.coalesce(*[F.when(F.col(k), k) for k in reversed(KINDS)], F.lit("plain"))
+    marks = cut(signs.groupBy("file_id").agg(F.max("crate").alias("crate"), *[F.bool_or(k).alias(k) for k in KINDS]).withColumn("_group", group))
+    share = F.least(F.lit(1.0), F.when(F.col("_group") == "plain", F.lit(SAMPLE_PLAIN)).otherwise(SAMPLE_PER_KIND) / F.col("_n"))
+    rates = marks.groupBy("_group").agg(F.count(F.lit(1)).alias("_n")).select("_group", share.alias("_rate"))
+    chosen = marks.join(F.broadcast(rates), "_group").where(F.pmod(F.xxhash64("file_id", F.lit(3)), F.lit(1 << 20)) < F.col("_rate") * (1 << 20))
+    code = files.where("code is not null").select(F.col("file_id").cast("long"), "file_path", "code")
+    return code.join(F.broadcast(chosen.select("file_id", "crate", *KINDS, (1 / F.col("_rate")).alias("weight"))), "file_id")
 
-    A fifth of the crates (by hash) is held out. Files without a giveaway count as
-    hand-written; of a silent kind, those the first fit takes for it are relabelled and
-    the classifier is fitted once more, with its margin as threshold. Of the other kinds the threshold is the least
-    at which ``LEAST_SHARE`` of what is found in held-out crates has the giveaway. A
-    kind with fewer than ten files or too little recall has no classifier. The
-    held-out margins (a bounded number) are judged on the driver.
-    """
 
-    sample = _sample(files, signs).select("file_path", "code", F.pmod(F.xxhash64(F.coalesce("crate", F.lit(""))), F.lit(5)).alias("fold"), *KINDS)
-    vector = pa.struct([("type", pa.int8()), ("size", pa.int32()), ("indices", pa.list_(pa.int32())), ("values", pa.list_(pa.float64()))])
-    schema = StructType([StructField("features", VectorUDT()), StructField("held_out", BooleanType()), *[StructField(k, BooleanType()) for k in KINDS]])
+def _vectors(sample: DataFrame) -> DataFrame:
+    """The sample as features of both views with labels, ``weight`` and ``fold``, a fifth of the crates by hash."""
+    lists = [(f"{view}_{x}", t) for view in SIZES for x, t in (("at", "int"), ("value", "float"))]
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            made = [features(path or "", code) for path, code in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())]
-            rows = [{"type": 0, "size": SIZE, "indices": at.astype(np.int32), "values": value} for at, value in made]
-            held_out = pa.array([x == 0 for x in batch.column(2).to_pylist()], pa.bool_())
-            yield pa.RecordBatch.from_arrays([pa.array(rows, vector), held_out, *[batch.column(3 + k) for k in range(len(KINDS))]], names=["features", "held_out", *KINDS])
-
-    sample = cut(sample.mapInArrow(vectors, schema)).coalesce(2).withColumn("plain", ~(F.col("generated") | F.col("minified") | F.col("vendored") | F.col("data")))
-    learn, rest = sample.where("not held_out").persist(), sample.where("held_out").persist()
-    weights, offsets, thresholds, report = np.zeros((SIZE, len(KINDS)), np.float32), np.zeros(len(KINDS)), np.full(len(KINDS), np.inf), {}
-    held = {r[0]: r[1:] for r in [("learn", *learn.agg(*[F.count_if(k) for k in KINDS]).first()), ("rest", *rest.agg(*[F.count_if(k) for k in KINDS], F.count(F.lit(1))).first())]}
-    margin = vector_to_array("rawPrediction")[1]
-    for k, kind in enumerate(KINDS):
-        if held["learn"][k] < 10 or held["rest"][k] < 3:
-            continue
-        svc = LinearSVC(labelCol="label", maxIter=iterations, regParam=regularisation, standardization=False)
-        label = F.col(kind).cast("double")
-        model = svc.fit(learn.select("features", label.alias("label")))
-        if kind in SILENT:
-            taken = F.col("plain") & (margin > 0)
-            model = svc.fit(model.transform(learn.select("features", kind, "plain")).select("features", F.when(taken, 1.0).otherwise(label).alias("label")))
-        weights[:, k], offsets[k] = model.coefficients.toArray(), model.intercept
-        scored = np.array(model.transform(rest.select("features", kind)).select(label, margin).collect()).reshape(-1, 2)
-        scored = scored[np.argsort(-scored[:, 1])]
-        share = np.cumsum(scored[:, 0]) / np.arange(1, len(scored) + 1)
-        good = np.flatnonzero((scored[:, 1] > (kind in SILENT)) & ((share >= LEAST_SHARE) | (kind in SILENT)))
-        recall = scored[: good[-1] + 1, 0].sum() / held["rest"][k] if len(good) else 0.0
-        threshold = 1.0 if kind in SILENT else 0.0 if not len(good) or good[-1] + 1 == len(scored) else max(0.0, float(scored[good[-1] : good[-1] + 2, 1].mean()))
-        report[kind] = {"held_out": held["rest"][k], "recall": round(float(recall), 3), "marked_share_of_found": round(float(share[good[-1]]), 3) if len(good) else None, "threshold": round(threshold, 3), "used": bool(recall >= LEAST_RECALL)}
-        if report[kind]["used"]:
-            thresholds[k] = threshold
-    learn.unpersist()
-    rest.unpersist()
-    return Classifiers(weights, offsets, thresholds, report)
+            columns = []
+            for view, make in VIEWS.items():
+                made = [make(path or "", code) for path, code in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())]
+                columns += [pa.array([at.astype(np.int32) for at, _ in made], pa.list_(pa.int32())), pa.array([value.astype(np.float32) for _, value in made], pa.list_(pa.float32()))]
+            yield pa.RecordBatch.from_arrays([*columns, *[batch.column(2 + k) for k in range(2 + len(KINDS))]], names=[*[n for n, _ in lists], "fold", "weight", *KINDS])
+
+    fold = F.pmod(F.xxhash64(F.coalesce("crate", F.lit(""))), F.lit(5))
+    return sample.select("file_path", "code", fold.alias("fold"), "weight", *KINDS).mapInArrow(vectors, ", ".join([f"{n} array<{t}>" for n, t in lists] + ["fold long, weight double"] + [f"{k} boolean" for k in KINDS]))
+
+
+class _Rows:
+    """Sparse rows of features, with a constant one behind the others."""
+
+    def __init__(self, at: list[np.ndarray], values: list[np.ndarray], size: int) -> None:
+        self.size = size + 1
+        self.rows = [(np.append(a, size).astype(np.int64), np.append(v, np.float32(1))) for a, v in zip(at, values)]
+
+    def margins(self, w: np.ndarray) -> np.ndarray:
+        return np.array([v @ w[a] for a, v in self.rows])
+
+
+def support_vectors(x: _Rows, label: np.ndarray, cost: np.ndarray, regularisation: float, rounds: int = 40) -> np.ndarray:
+    """Weights of the linear support-vector classifier, by stochastic sub-gradient steps over rows drawn by cost (a fixed seed); the mean of the later rounds' weights."""
+    w, mean, scale = np.zeros(x.size), np.zeros(x.size), 1.0
+    drawn = np.random.default_rng(5).choice(len(label), (rounds, len(label)), p=cost / cost.sum())
+    y, t = np.where(label, 1.0, -1.0), 0
+    for n, part in enumerate(drawn.tolist()):
+        for i in part:
+            t += 1
+            rate = 1 / (regularisation * (t + len(label)))
+            at, values = x.rows[i]
+            wrong = y[i] * scale * (values @ w[at]) < 1
+            scale *= 1 - rate * regularisation
+            if wrong:
+                w[at] += rate * y[i] / scale * values
+        if n >= rounds // 2:
+            mean += scale * w / (rounds - rounds // 2)
+    return mean
+
+
+def _trained(view: str, kind: str, rows: pd.DataFrame, regularisation: float) -> dict:
+    """One classifier from the rows of the sample, judged on the crates of fold 0; its threshold is taken off the constant."""
+    x = lambda part: _Rows(rows["at"][part].tolist(), rows["value"][part].tolist(), SIZES[view])
+    fold, label, cost = rows["fold"].to_numpy(), rows["label"].to_numpy(), rows["weight"].to_numpy()
+    told, learn, rest = label.copy(), fold > 0, fold == 0
+    if label[learn].sum() < LEAST_FILES or not label[rest].any():
+        return {"weights": None, "recall": None, "marked_share": None, "used": False}
+    if view == "code" and kind in SILENT:
+        for k in (0, 1):
+            part, other = learn & (fold % 2 == k), learn & (fold % 2 != k)
+            if label[part].any() and other.any():
+                w = support_vectors(x(part), label[part], cost[part] * np.where(label[part], (1 - SIGNED) / SIGNED, 1), regularisation)
+                told[other] |= rows["plain"].to_numpy()[other] & (x(other).margins(w) > 0)
+    w = support_vectors(x(learn), told[learn], cost[learn], regularisation)
+    margins, marked, weight = x(rest).margins(w), label[rest], cost[rest]
+    threshold = 0.0
+    if kind not in SILENT:
+        order = np.argsort(-margins)
+        shares = np.cumsum((weight * marked)[order]) / np.cumsum(weight[order])
+        good = np.flatnonzero((shares >= LEAST_SHARE) & (margins[order] > 0))
+        threshold = max(0.0, margins[order][good[-1] : good[-1] + 2].mean()) if len(good) else np.inf
+    hit = margins > threshold
+    right = weight @ (hit & marked)
+    recall, share = right / (weight @ marked), right / max(weight @ hit, 1e-9)
+    w[-1] -= threshold if threshold < np.inf else 0.0
+    return {"weights": w.astype(np.float32), "recall": round(recall, 3), "marked_share": round(share, 3), "used": bool(recall >= LEAST_RECALL)}
+
+
+def train(files: DataFrame, signs: DataFrame, regularisation: float = 5e-4) -> Classifiers:
+    """The linear support-vector classifiers, from about ``SAMPLE_PER_KIND`` files per kind and ``SAMPLE_PLAIN`` plain ones, weighted to stand for all files.
+
+    Files without a giveaway count as hand-written; of a silent kind, those that a
+    code classifier fitted on the other half of the crates takes for it are relabelled
+    before it is fitted on all. A fifth of the crates is held out and judged by
+    weight; a kind with fewer than ``LEAST_FILES`` files, or too little recall there,
+    has no classifier. Each classifier is fitted in a task of its own, from the bounded sample.
+    """
+    sample = cut(_vectors(_sample(files, signs)))
+    each = [sample.select(F.lit(v).alias("view"), F.lit(k).alias("kind"), F.col(f"{v}_at").alias("at"), F.col(f"{v}_value").alias("value"), "fold", F.col(k).alias("label"), _plain().alias("plain"), "weight") for v, k in MODELS]
+    fit = lambda key, rows: pd.DataFrame([{"view": key[0], "kind": key[1], **_trained(*key, rows, regularisation)}])
+    rows = functools.reduce(DataFrame.unionAll, each).groupBy("view", "kind").applyInPandas(fit, "view string, kind string, weights array<float>, recall double, marked_share double, used boolean").collect()
+    return Classifiers({(r.view, r.kind): np.array(r.weights, np.float32) for r in rows if r.used}, {(r.view, r.kind): {"recall": r.recall, "marked_share_of_found": r.marked_share, "used": r.used} for r in rows})
 
 
 def scores(files: DataFrame, model: Classifiers) -> DataFrame:
-    """Margin above the threshold of each classifier for every row with code: ``file_id`` and ``m_<kind>`` (null where a kind has no classifier)."""
-    weights, shift = model.weights, model.offsets - np.where(np.isfinite(model.thresholds), model.thresholds, 0)
+    """Whether each kind's classifiers take a row with code for it: ``file_id`` and a flag per kind."""
+    of = {view: [(KINDS.index(k), w) for (v, k), w in model.weights.items() if v == view] for view in VIEWS}
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = np.zeros((batch.num_rows, len(KINDS)))
+            flags = np.zeros((len(KINDS), batch.num_rows), bool)
             for i, (path, code) in enumerate(zip(batch.column(1).to_pylist(), batch.column(2))):
-                at, value = features(path or "", code.as_py())
-                rows[i] = value @ weights[at] + shift
-            yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(rows[:, k]) if np.isfinite(model.thresholds[k]) else pa.nulls(len(rows), pa.float64()) for k in range(len(KINDS))]], names=["file_id", *[f"m_{k}" for k in KINDS]])
+                text = code.as_py()
+                for view, make in VIEWS.items():
+                    at, value = make(path or "", text)
+                    for k, w in of[view]:
+                        flags[k, i] |= bool(value @ w[at] + w[-1] > 0)
+            yield pa.RecordBatch.from_arrays([batch.column(0), *map(pa.array, flags)], names=["file_id", *KINDS])
 
     source = files.where("file_id is not null and code is not null and code rlike '\\\\S'").select(F.col("file_id").cast("long"), "file_path", "code")
-    return source.mapInArrow(judge, "file_id long, " + ", ".join(f"m_{k} double" for k in KINDS))
+    return source.mapInArrow(judge, "file_id long, " + ", ".join(f"{k} boolean" for k in KINDS))
 
 
 def classify(files: DataFrame) -> DataFrame:
@@ -269,21 +334,21 @@ def classify(files: DataFrame) -> DataFrame:
 
     Files with null or blank code, or a null id, have no row; a file in several rows
     is of every kind that one of its rows is. A file whose code (without comments
-    and spaces, at least ``COPY_CHARS`` characters) equals a vendored file's is a
-    copy of it; equal files without a vendored one among them are the project's own.
+    and spaces, at least ``COPY_CHARS`` characters) equals that of a file found to be
+    vendored is a copy of it; equal files without a vendored one among them are the
+    project's own. Kinds with too few files to learn from go by their giveaways.
     """
     signs = cut(with_foreign_holders(cut(giveaways(files))))
     model = train(files, signs)
-    copied = signs.where("vendored and print is not null and not generated and not data").select("print").distinct().withColumn("_copy", F.lit(True))
-    # files too short for a print stay out of the join, in which they would all meet in one place
-    marked = signs.where("print is not null").join(copied, "print", "left").unionByName(signs.where("print is null").withColumn("_copy", F.lit(None).cast("boolean")))
-    per_file = marked.groupBy("file_id").agg(*[F.bool_or(k).alias(k) for k in KINDS], F.bool_or(F.coalesce("_copy", F.lit(False))).alias("_copy"))
-    judged = scores(files, model).groupBy("file_id").agg(*[F.max(f"m_{k}").alias(f"m_{k}") for k in KINDS])
-    both = per_file.join(judged, "file_id")
-    flags = {k: F.col(k) | F.coalesce(F.col(f"m_{k}") > 0, F.lit(False)) for k in KINDS}
-    flags["vendored"] = flags["vendored"] | F.col("_copy")
-    out = both.select("file_id", *[v.alias(k) for k, v in flags.items()])
-    return out.withColumn("handwritten", ~(F.col("generated") | F.col("minified") | F.col("vendored") | F.col("data")))
+    told = scores(files, model)
+    if few := [k for k in KINDS if not any(k == kind for _, kind in model.weights)]:
+        told = told.unionByName(signs.select("file_id", *[(F.col(k) if k in few else F.lit(False)).alias(k) for k in KINDS]))
+    judged = cut(told.groupBy("file_id").agg(*[F.bool_or(k).alias(k) for k in KINDS]))
+    prints = signs.where("print is not null").select("file_id", "print").distinct().join(judged.select("file_id", "vendored", "generated", "data"), "file_id")
+    copied = prints.where("vendored and not generated and not data").select("print").distinct()
+    copies = prints.where("not vendored").join(copied, "print", "left_semi").select("file_id", F.lit(True).alias("_copy")).distinct()
+    both = judged.join(copies, "file_id", "left").withColumn("vendored", F.col("vendored") | F.coalesce("_copy", F.lit(False))).drop("_copy")
+    return both.withColumn("handwritten", _plain())
 
 
 def found(files: DataFrame) -> DataFrame:
