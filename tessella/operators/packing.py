@@ -1,66 +1,130 @@
 """Packing ordered items into chunks of at most so many tokens.
 
-The order decides where a chunk ends, so each group is a fold; only (order, tokens)
-rows take part. Groups longer than ``BLOCK`` items are folded in blocks of
-neighbouring items, each opening a new chunk, so no task holds an unbounded group.
-Items with null tokens count 0; ties of the order go by the item's key.
+Where a chunk ends depends on all items before it, yet no task holds a whole group:
+the sorted items are packed in blocks of neighbours. A block that isn't the first of
+its group tells for each number of tokens that a chunk may hold at its start what
+comes out at its end; these few rows are followed from block to block, and each
+block is then packed from the state it is known to start with. Only (order, tokens)
+rows take part. Items with null tokens count 0; null orders come first; ties of the
+order go by the item's key.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessella.spark_util import cut
+
 BLOCK = 100_000
+#: State between two items: no chunk open for more, else the tokens of the open one.
+CLOSED = -1
 
 
-def _blocks(items: DataFrame, group: list[str], order: list[str], block: int) -> DataFrame:
-    """Adds ``_block``: items of a group in runs of neighbours of about ``block``, by quantiles of the first order column."""
-    sizes = items.groupBy(*group).agg(F.count(F.lit(1)).alias("_n"), F.min(order[0]).alias("_low"), F.max(order[0]).alias("_high"))
-    marked = items.join(sizes, group)
-    parts = F.ceil(F.col("_n") / F.lit(block))
-    place = (F.col(order[0]) - F.col("_low")).cast("double") / F.nullif((F.col("_high") - F.col("_low")).cast("double"), F.lit(0.0))
-    return marked.withColumn("_block", F.least(F.floor(F.coalesce(place, F.lit(0.0)) * parts), parts - 1)).drop("_n", "_low", "_high")
+def _starts(tokens: np.ndarray, limit: int) -> tuple[Callable, Callable]:
+    """Of a block of items two functions: where the next chunk starts if one starts at an item, and if the open one holds so many tokens."""
+    sums, large, n = np.cumsum(tokens), np.flatnonzero(tokens > limit), len(tokens)
 
+    def up_to(room: int, at: int) -> int:
+        k = np.searchsorted(large, at)
+        return int(min(np.searchsorted(sums, room, "right"), large[k] if k < len(large) else n))
 
-def pack_in_order(items: DataFrame, group: list[str], order: list[str], tokens: str, most: str | int, block: int = BLOCK) -> DataFrame:
-    """Adds ``chunk`` (from 0 within group and block) and ``oversize`` to ``items``.
+    def after(at: int) -> int:
+        return at + 1 if tokens[at] > limit else up_to(sums[at] - tokens[at] + limit, at)
 
-    An item joins the open chunk if the sum stays within ``most`` (a number or a
-    column), else opens the next. An item over ``most`` alone is a chunk of its own.
-    """
-    limit = F.col(most) if isinstance(most, str) else F.lit(most)
-    narrow = _blocks(items.select(*group, *order, F.coalesce(tokens, F.lit(0)).cast("long").alias("_t"), limit.cast("long").alias("_most")), group, order, block)
-    ddl = ", ".join(f"`{n}` {t}" for n, t in narrow.dtypes) + ", chunk long, oversize boolean"
+    def entering(state: int) -> int:
+        return 0 if state == CLOSED else up_to(limit - state, 0)
 
-    def fold(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(order, ignore_index=True)
-        chunk, total, holds = -1, 0, False
-        numbers, large = [], []
-        for t, limit in zip(rows["_t"].tolist(), rows["_most"].tolist()):
-            if t > limit:
-                chunk, total, holds = chunk + 1, 0, False
-            elif not holds or total + t > limit:
-                chunk, total, holds = chunk + 1, t, True
+    return after, entering
+
+
+def _outcomes(tokens: np.ndarray, limit: int) -> list[tuple[int, int, int, int, int]]:
+    """What a block makes of a state: (above, up to, chunks started, state at the end, 1 if what was open is added to that state)."""
+    after, entering = _starts(tokens, limit)
+    sums, n = np.cumsum(tokens), len(tokens)
+    known: dict[int, tuple[int, int]] = {}
+
+    def ending(start: int) -> tuple[int, int]:
+        way = []
+        while start < n and start not in known:
+            way.append(start)
+            start = after(start)
+        for at in reversed(way):
+            if start < n:
+                known[at] = (known[start][0] + 1, known[start][1])
             else:
-                total += t
-            numbers.append(chunk)
-            large.append(t > limit)
-        return rows.assign(chunk=numbers, oversize=large)
+                known[at] = (1, CLOSED if tokens[at] > limit else int(sums[-1] - sums[at] + tokens[at]))
+            start = at
+        return known[start]
 
-    return narrow.groupBy(*group, "_block").applyInPandas(fold, ddl).withColumnRenamed("_block", "block").withColumnRenamed("_t", "n_tokens").drop("_most")
+    rows = [(CLOSED - 1, CLOSED, *ending(0), 0)]
+    high = limit
+    while high >= 0:  # from a full chunk down: the less is open, the later the first start
+        start = entering(high)
+        low = max(CLOSED, limit - int(sums[start])) if start < n and tokens[start] <= limit else CLOSED
+        rows.append((low, high, *ending(start), 0) if start < n else (low, high, 0, int(sums[-1]), 1))
+        high = low
+    return rows
 
 
-def chunk_sizes(packed: DataFrame, group: list[str]) -> DataFrame:
-    return packed.groupBy(*group, "block", "chunk").agg(F.count(F.lit(1)).alias("n_items"), F.sum("n_tokens").alias("n_tokens"), F.bool_or("oversize").alias("oversize"))
+def pack_in_order(items: DataFrame, group: list[str], order: list[str], tokens: str, most: str | int, block: int = BLOCK) -> DataFrame:
+    """Adds ``chunk`` (from 0 within the group) and ``oversize`` to ``items``.
+
+    An item joins the open chunk if the sum stays within ``most`` (a number or a
+    column, the same throughout a group), else opens the next. An item over ``most``
+    alone is a chunk of its own. The result is that of packing one item after
+    another, whatever ``block``, the most rows that a task packs at a time.
+    """
+    limit = F.col(most) if isinstance(most, str) else F.lit(most)
+    narrow = items.select(*group, *order, F.coalesce(tokens, F.lit(0)).cast("long").alias("_t"), limit.cast("long").alias("_most"))
+    at = F.monotonically_increasing_id()
+    placed = cut(narrow.orderBy(*group, *order).withColumn("_at", at)).withColumn("_block", F.col("_at") - F.pmod(F.col("_at").bitwiseAND((1 << 33) - 1), F.lit(block)))
+    key = ", ".join(f"`{n}` {dict(narrow.dtypes)[n]}" for n in group)
+
+    def outcomes(rows: pd.DataFrame) -> pd.DataFrame:
+        found = _outcomes(rows.sort_values("_at")["_t"].to_numpy(np.int64), int(rows["_most"].iloc[0]))
+        out = pd.DataFrame(found, columns=["_low", "_high", "_n", "_end", "_adds"])
+        for n in [*group, "_block"]:
+            out[n] = rows[n].iloc[0]
+        return out
+
+    def follow(rows: pd.DataFrame) -> pd.DataFrame:
+        state, last, entries = CLOSED, -1, []
+        for number, own in rows.sort_values("_block").groupby("_block", sort=False):
+            entries.append((number, state, last))
+            row = own[(own["_low"] < state) & (state <= own["_high"])].iloc[0]
+            last, state = last + int(row["_n"]), int(row["_end"]) + (state if row["_adds"] else 0)
+        out = pd.DataFrame(entries, columns=["_block", "_state", "_last"])
+        for n in group:
+            out[n] = rows[n].iloc[0]
+        return out
+
+    def pack(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values("_at", ignore_index=True)
+        sizes, limit = rows["_t"].to_numpy(np.int64), int(rows["_most"].iloc[0])
+        after, entering = _starts(sizes, limit)
+        starts = [entering(int(rows["_state"].iloc[0]))]
+        while starts[-1] < len(sizes):
+            starts.append(after(starts[-1]))
+        return rows.assign(chunk=rows["_last"].iloc[0] + np.searchsorted(starts, np.arange(len(sizes)), "right"), oversize=sizes > limit)
+
+    # most groups lie within one block and need no entry
+    several = placed.groupBy(*group).agg(F.min("_block").alias("_a"), F.max("_block").alias("_b")).where("_a <> _b").select(*group)
+    same = lambda left, right, names: [left[n].eqNullSafe(right[n]) for n in names]
+    split = placed.join(several, same(placed, several, group), "left_semi")
+    told = split.groupBy(*group, "_block").applyInPandas(outcomes, f"_low long, _high long, _n long, _end long, _adds int, {key}, _block long")
+    entries = told.groupBy(*group).applyInPandas(follow, f"_block long, _state long, _last long, {key}")
+    started = placed.join(entries, same(placed, entries, [*group, "_block"]), "left").select(*[placed[n] for n in placed.columns], F.coalesce("_state", F.lit(CLOSED)).cast("long").alias("_state"), F.coalesce("_last", F.lit(-1)).cast("long").alias("_last"))
+    ddl = ", ".join(f"`{n}` {t}" for n, t in started.dtypes) + ", chunk long, oversize boolean"
+    return started.groupBy(*group, "_block").applyInPandas(pack, ddl).withColumnRenamed("_t", "n_tokens").drop("_most", "_at", "_block", "_state", "_last")
 
 
-def numbered_through(sizes: DataFrame, group: list[str]) -> DataFrame:
-    """``sizes`` of chunks with ``chunk`` counted on from block to block, so that it tells the chunks of a group apart; only one row per block is ordered."""
-    blocks = sizes.groupBy(*group, "block").agg((F.max("chunk") + 1).alias("_n"))
-    before = blocks.withColumn("_before", F.sum("_n").over(Window.partitionBy(*group).orderBy("block")) - F.col("_n")).drop("_n")
-    return sizes.join(before, [*group, "block"]).withColumn("chunk", F.col("chunk") + F.col("_before")).select(*sizes.columns)
+def chunk_sizes(packed: DataFrame, group: list[str]) -> DataFrame:
+    return packed.groupBy(*group, "chunk").agg(F.count(F.lit(1)).alias("n_items"), F.sum("n_tokens").alias("n_tokens"), F.bool_or("oversize").alias("oversize"))
 
 
 def split_lines(text: Column, most: int, per_line: bool) -> Column:

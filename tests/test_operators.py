@@ -1,5 +1,6 @@
 import itertools
 import math
+import random
 
 import pytest
 from hypothesis import given, settings
@@ -109,11 +110,28 @@ def test_packing_in_order(spark, sizes):
     assert got == want
 
 
-def test_blocks_cover_long_groups(spark):
-    df = spark.range(1000).select(F.lit("g").alias("g"), F.col("id").alias("k"), F.lit(3).alias("n"))
-    packed = packing.pack_in_order(df, ["g"], ["k"], "n", 10, block=100)
-    assert packed.count() == 1000 and packed.select("block").distinct().count() == 10
-    assert packing.chunk_sizes(packed, ["g"]).agg(F.max("n_tokens"), F.sum("n_items")).first()[:] == (9, 1000)
+def in_sequence(sizes, most):
+    chunks, chunk_, total, holds = [], -1, 0, False
+    for n in sizes:
+        if n > most or not holds or total + n > most:
+            chunk_, total, holds = chunk_ + 1, 0 if n > most else n, n <= most
+        else:
+            total += n
+        chunks.append(chunk_)
+    return chunks
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_blocks_give_the_sequential_result(spark, seed):
+    draw = random.Random(seed)
+    sizes = [draw.choice([0, 0, 1, 2, 3, 3, 7, 20, 21, 40][: draw.choice([4, 10])]) for _ in range(300)]
+    order = [None] * 40 + sorted(draw.choice([5, 5, 5, k]) for k in range(259)) + [10**15]  # nulls, ties, an outlier
+    rows = [(None, q, k, n) for k, (q, n) in enumerate(zip(order, sizes))] + [("h", 0, k, 3) for k in range(50)]
+    df = spark.createDataFrame(rows, "g string, q long, k long, n long").repartition(5)
+    got = {(r.g, r.k): (r.chunk, r.oversize) for r in packing.pack_in_order(df, ["g"], ["q", "k"], "n", 20, block=7).collect()}
+    assert len(got) == 350
+    assert [got[None, k] for k in range(300)] == [(c, n > 20) for c, n in zip(in_sequence(sizes, 20), sizes)]
+    assert [got["h", k][0] for k in range(50)] == in_sequence([3] * 50, 20)
 
 
 @pytest.mark.parametrize("per_line", [False, True])
