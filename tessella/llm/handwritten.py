@@ -35,10 +35,10 @@ SAMPLE_PLAIN = 2_500
 SILENT = ("minified",)
 SIGNED = 0.4
 #: A classifier is used only if it finds this share of the files with the giveaway in unseen crates; of what it finds there
-#: this share must have it (but for silent kinds), and its threshold is raised until it does.
+#: this share must have it (but for silent kinds), and its threshold is raised until it does. Code is the weaker evidence.
 LEAST_FILES = 10
 LEAST_RECALL = 0.25
-LEAST_SHARE = 0.98
+LEAST_SHARE = {"code": 0.98, "marks": 0.9}
 GRAM = 4
 BUCKETS = 1 << 13
 PATH_BUCKETS = 1 << 12
@@ -285,7 +285,7 @@ def _trained(view: str, kind: str, rows: pd.DataFrame, regularisation: float) ->
     if kind not in SILENT:
         order = np.argsort(-margins)
         shares = np.cumsum((weight * marked)[order]) / np.cumsum(weight[order])
-        good = np.flatnonzero((shares >= LEAST_SHARE) & (margins[order] > 0))
+        good = np.flatnonzero((shares >= LEAST_SHARE[view]) & (margins[order] > 0))
         threshold = max(0.0, margins[order][good[-1] : good[-1] + 2].mean()) if len(good) else np.inf
     hit = margins > threshold
     right = weight @ (hit & marked)
