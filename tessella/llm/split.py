@@ -12,11 +12,13 @@ from pyspark.sql import functions as F
 from tessella.llm.tokens import BYTE_BPE, TOKENIZERS, byte_bpe, encode_array, slices, text_bytes
 
 #: A cut behind a token, strongest first: before a heading, a blank line, a line end, behind a sentence, before white space,
-#: between other characters; then a place where a piece would encode otherwise, and one within a character.
-HEADING, PARAGRAPH, LINE, SENTENCE, WORD, CHARACTER, UNSAFE, NEVER, END = "HPLSWCyxE"
+#: between other characters; then a place where a piece would encode otherwise, one from which the overlap back can't begin a
+#: piece, and one within a character.
+HEADING, PARAGRAPH, LINE, SENTENCE, WORD, CHARACTER, UNSAFE, FAR, NEVER, END = "HPLSWCyzxE"
 _SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
 _FLAT = np.isin(np.arange(256), [9, 11, 12, 13, 32])
 STRONG = HEADING + PARAGRAPH + LINE + SENTENCE
+_NO_START = np.frombuffer((UNSAFE + NEVER).encode(), np.uint8)
 
 
 def boundary_letters(data: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -46,8 +48,12 @@ def boundary_letters(data: np.ndarray, ends: np.ndarray) -> np.ndarray:
     return letters
 
 
-def token_layout(docs: DataFrame, key: str, text: str, limit: int, folder: str = TOKENIZERS, name: str = BYTE_BPE) -> DataFrame:
-    """Rows ``_key, _text, cuts, ends`` of the texts over the limit: a letter per token, and the code points up to each token's end."""
+def token_layout(docs: DataFrame, key: str, text: str, limit: int, overlap: int, folder: str = TOKENIZERS, name: str = BYTE_BPE) -> DataFrame:
+    """Rows ``_key, _text, cuts, ends`` of the texts over the limit: a letter per token, and the code points up to each token's end.
+
+    Where the overlap back from a cut lies no place to begin a piece, the cut is taken
+    only where no other is within reach.
+    """
     # a token has at least one byte, so shorter texts needn't reach Python
     source = docs.where(F.octet_length(text) > limit).select(F.col(key).alias("_key"), F.col(text).cast("string").alias("_text"))
 
@@ -65,6 +71,9 @@ def token_layout(docs: DataFrame, key: str, text: str, limit: int, folder: str =
                     byte_ends = np.cumsum(bpe.token_bytes[flat[bounds[k] : bounds[k + 1]]])
                     points = np.cumsum((own & 0xC0) != 0x80)
                     letters = boundary_letters(own, byte_ends)
+                    if overlap:
+                        no_start = np.isin(letters[:-overlap], _NO_START)
+                        letters[np.append(np.ones(overlap, bool), no_start)[: len(letters)] & ~np.isin(letters, _NO_START)] = ord(FAR)
                     letters[-1] = ord(END)
                     cuts.append(letters.tobytes().decode())
                     ends.append(points[byte_ends - 1].astype(np.int32))
@@ -82,16 +91,16 @@ def piece_pattern(most: int) -> str:
     half, any word end, any safe character, any character; a strong cut counts only from half of the limit on."""
     half = max(1, most // 2)
     strong = [rf".{{{half - 1},{most - 1}}}{x}" for x in STRONG]
-    return "|".join([rf".{{0,{most - 1}}}{END}", *strong, rf".{{0,{most - 1}}}[{STRONG}{WORD}]", rf".{{0,{most - 1}}}{CHARACTER}", rf".{{0,{most - 1}}}[^{NEVER}]", rf".{{1,{most}}}"])
+    return "|".join([rf".{{0,{most - 1}}}{END}", *strong, rf".{{0,{most - 1}}}[{STRONG}{WORD}]", rf".{{0,{most - 1}}}{CHARACTER}", rf".{{0,{most - 1}}}[^{FAR}{NEVER}]", rf".{{0,{most - 1}}}{FAR}", rf".{{1,{most}}}"])
 
 
 def split_documents(docs: DataFrame, limit: int, overlap: int, key: str = "doc_id", folder: str = TOKENIZERS, name: str = BYTE_BPE) -> DataFrame:
     """Pieces of every text over ``limit`` tokens: ``key, piece, n_pieces, start_char, end_char, n_tokens, text``.
 
     Each piece has at most ``limit`` tokens and starts ``overlap`` tokens before the
-    end of the one before it (up to four more where the token there begins within a
-    character or where a piece would encode otherwise), so all pieces together
-    restore the text. Null, empty and short texts give no rows; of equal rows each
+    end of the one before it, so all pieces together restore the text. Cuts are chosen
+    so that a piece can begin there; only where no cut within reach allows it (a run
+    of characters of several tokens, say) are there up to four tokens more. Null, empty and short texts give no rows; of equal rows each
     gives its pieces. Everything after the tokens is regular expressions and array
     functions in the JVM, a map over the scan without a shuffle.
     """
@@ -99,7 +108,7 @@ def split_documents(docs: DataFrame, limit: int, overlap: int, key: str = "doc_i
         raise ValueError("the overlap must be smaller than the limit less 8")
     slack = 4 if overlap else 0
     later = limit - overlap - slack
-    laid = token_layout(docs, key, "text", limit, folder, name)
+    laid = token_layout(docs, key, "text", limit, overlap, folder, name)
     first = laid.withColumn("_a", F.regexp_extract("cuts", piece_pattern(limit), 0))
     # every match is marked and the string split, which is linear; collecting matches would copy the string for each
     marked = F.regexp_replace(F.expr("substring(cuts, length(_a) + 1)"), f"({piece_pattern(later)})", "$1|")
@@ -113,7 +122,7 @@ def split_documents(docs: DataFrame, limit: int, overlap: int, key: str = "doc_i
     within = f"substring(_parts[i - 1], length(_parts[i - 1]) - {overlap + 7}, 8)"
     near = f"if(length(_parts[i - 1]) >= {overlap + 8}, {within}, substring(cuts, greatest({back} - 7, 1), least(8, {back})))"
     safe, whole = (f"length({near}) - length(rtrim('{x}', {near}))" for x in (UNSAFE + NEVER, NEVER))
-    begin = f"{back} - if({safe} <= {slack}, {safe}, {whole})" if overlap else back
+    begin = f"greatest({back} - if({safe} <= {slack}, {safe}, {whole}), 0)" if overlap else back
     pieces = stops.withColumn("_a", F.expr(f"transform(_stops, (x, i) -> if(i = 0, 0, {begin}))"))
     placed = pieces.select("_key", "_text", F.expr("transform(_a, x -> if(x = 0, 0, ends[x - 1]))").alias("_from"), F.expr("transform(_stops, x -> ends[x - 1])").alias("_to"), F.expr("zip_with(_stops, _a, (b, a) -> b - a)").alias("_sizes"))
     cut = F.arrow_udf(_slices, "array<struct<a int, b int, n int, text string>>")("_text", "_from", "_to", "_sizes")
