@@ -8,9 +8,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessella.llm.budget import items_once, label
+from tessella.spark_util import cut
 
 #: Items that one task fills containers with; more of a granularity are spread over several such groups.
 GROUP_ITEMS = 20_000
+#: Containers of each group, the last ones, whose items are packed once more with those of the other groups.
+REOPENED = 3
+#: Groups whose reopened containers one task packs; their rest is loose again, one container in as many groups.
+REOPENED_GROUPS = 500
+
 
 class _Sizes:
     """How many items of each size are left, with a bit set for every size there is."""
@@ -80,18 +86,19 @@ def best_two_fit(sizes: np.ndarray, capacity: int) -> list[list[int]]:
 
 
 def _fill(rows: pd.DataFrame) -> pd.DataFrame:
-    """Number of the container (and its free room) for the pieces of one group."""
+    """Number of the container (and its free room) for the pieces of one group, and how many containers follow it."""
     capacity = int(rows["capacity"].iloc[0])
     rows = rows.sort_values(["size", "seq", "item_id", "piece"], ignore_index=True, na_position="first")
     sizes = rows["size"].to_numpy(np.int64)
     first = np.searchsorted(sizes, np.arange(capacity + 1)).tolist()
     container, free = np.zeros(len(rows), np.int64), np.zeros(len(rows), np.int64)
-    for number, own in enumerate(best_two_fit(sizes, capacity)):
+    bins = best_two_fit(sizes, capacity)
+    for number, own in enumerate(bins):
         room = capacity - sum(own)
         for size in own:
             container[first[size]], free[first[size]] = number, room
             first[size] += 1
-    return rows.assign(number=container, free=free)
+    return rows.assign(number=container, free=free, behind=len(bins) - 1 - container)
 
 
 def pieces(items: DataFrame, limits: DataFrame) -> DataFrame:
@@ -104,8 +111,8 @@ def pieces(items: DataFrame, limits: DataFrame) -> DataFrame:
     most = limits.where("max_tokens > 0").groupBy(label("granularity").alias("granularity")).agg(F.max("max_tokens").alias("capacity"))
     chars = items.where("item_id is not null").groupBy("item_id").agg(F.max(F.length("text")).cast("long").alias("chars"))
     once = items_once(items).withColumn("size", F.greatest("size", F.lit(0))).join(chars, "item_id").join(F.broadcast(most), "granularity", "left")
-    cut = once.withColumn("n_pieces", F.when(F.col("size") > F.col("capacity"), F.expr("(size + capacity - 1) div capacity")).otherwise(F.lit(1)).cast("long"))
-    each = cut.select("*", F.explode(F.expr("sequence(0L, n_pieces - 1)")).alias("piece"))
+    split = once.withColumn("n_pieces", F.when(F.col("size") > F.col("capacity"), F.expr("(size + capacity - 1) div capacity")).otherwise(F.lit(1)).cast("long"))
+    each = split.select("*", F.explode(F.expr("sequence(0L, n_pieces - 1)")).alias("piece"))
     at, upto = F.col("piece") * F.col("capacity"), F.least(F.col("size"), (F.col("piece") + 1) * F.col("capacity"))
     whole = F.col("n_pieces") == 1
     place = lambda t: F.when(F.expr("chars div 4 = size"), t * 4).otherwise(F.floor(F.col("chars") * t / F.col("size")))
@@ -122,19 +129,22 @@ def pack(items: DataFrame, limits: DataFrame, group_items: int = GROUP_ITEMS) ->
     text's characters, negative ones 0; null ids are left out; items of a
     granularity without a limit keep a null container. Only (id, seq, size) rows
     travel, spread by hash over groups of about ``group_items``, so a granularity that
-    holds most items is filled by many tasks, each of which leaves about one
-    container loose; pieces of full capacity are a container of their own.
+    holds most items is filled by many tasks. The last ``REOPENED`` containers of each
+    group, the loose ones, are opened again and their items packed together, by the
+    same method; pieces of full capacity are a container of their own.
     """
-    cut = pieces(items, limits)
-    counts = cut.groupBy("granularity").agg(F.count(F.lit(1)).alias("n_rows"))
-    spread = cut.join(counts, "granularity").withColumn("grp", F.pmod(F.xxhash64("item_id", "piece"), F.ceil(F.col("n_rows") / F.lit(group_items)))).drop("n_rows")
+    parts = pieces(items, limits)
+    counts = parts.groupBy("granularity").agg(F.ceil(F.count(F.lit(1)) / F.lit(group_items)).alias("n_groups"))
+    spread = parts.join(counts, "granularity").withColumn("grp", F.pmod(F.xxhash64("item_id", "piece"), F.col("n_groups")))
     full = spread.where("size = capacity").withColumn("container", F.concat_ws(":", F.lit("full"), "granularity", "item_id", "piece")).withColumn("free", F.lit(0).cast("long"))
-    rest = spread.where("size < capacity")
-    columns = ", ".join(f"{n} {t}" for n, t in rest.dtypes)
-    filled = rest.groupBy("granularity", "grp").applyInPandas(_fill, columns + ", number long, free long")
-    named = filled.withColumn("container", F.concat_ws(":", F.lit("packed"), "granularity", "grp", "number")).drop("number")
+    fill = lambda rows: rows.groupBy("granularity", "grp").applyInPandas(_fill, ", ".join(f"{n} {t}" for n, t in rows.dtypes) + ", number long, free long, behind long")
+    named = lambda rows, name: rows.withColumn("container", F.concat_ws(":", F.lit(name), "granularity", "grp", "number")).drop("number", "behind")
+    filled = cut(fill(spread.where("size < capacity")))
+    loose = (F.col("n_groups") > 1) & (F.col("behind") < REOPENED)
+    again = filled.where(loose).drop("number", "free", "behind").withColumn("grp", F.pmod(F.xxhash64("item_id", "piece"), F.ceil(F.col("n_groups") / F.lit(REOPENED_GROUPS))))
+    packed = named(filled.where(~loose), "packed").unionByName(named(fill(again), "rest"))
     none = spread.where("capacity is null").withColumn("container", F.lit(None).cast("string")).withColumn("free", F.lit(None).cast("long"))
-    out = full.unionByName(named).unionByName(none)
+    out = full.unionByName(packed).unionByName(none)
     return out.select("granularity", "container", "item_id", "piece", "n_pieces", "start_char", "end_char", F.col("size").alias("tokens"), "capacity", F.col("free").alias("unused"))
 
 
