@@ -274,9 +274,30 @@ def shared_parts(recs: DataFrame, least: int = LEAST, gram: int = GRAM, crowd: i
     return out.withColumn("share", F.round(F.coalesce(F.col("shared_chars") / F.nullif(F.col("n_chars"), F.lit(0)), F.lit(0.0)), 6))
 
 
+def text_classes(recs: DataFrame) -> DataFrame:
+    """Records of one text as a class: ``tab, id, class_tab, class_id`` (its smallest record) and ``n_members``; null texts have none."""
+    keyed = recs.select("tab", "id", F.sha2("text", 256).alias("_d")).distinct()
+    first = keyed.groupBy("_d").agg(F.min(F.struct("tab", "id")).alias("_c"), F.count(F.lit(1)).alias("n_members"))
+    return keyed.join(first, "_d").select("tab", "id", F.col("_c.tab").alias("class_tab"), F.col("_c.id").alias("class_id"), "n_members")
+
+
+def class_links(recs: DataFrame, least: int = LEAST) -> DataFrame:
+    """``shared_pairs`` between the smallest records of classes of one text; with ``text_classes`` all pairs, without one row for each two copies."""
+    classes = text_classes(recs).where("tab = class_tab and id = class_id").select("tab", "id")
+    return shared_pairs(cut(recs.join(classes, ["tab", "id"], "left_semi")), least)
+
+
 def found(spark, folder: str) -> DataFrame:
     return shared_pairs(records(table(spark, folder, "documents"), table(spark, folder, "doc_chunk")))
 
 
 def parts(spark, folder: str) -> DataFrame:
     return shared_parts(records(table(spark, folder, "documents"), table(spark, folder, "doc_chunk")))
+
+
+def classes(spark, folder: str) -> DataFrame:
+    return text_classes(records(table(spark, folder, "documents"), table(spark, folder, "doc_chunk")))
+
+
+def links(spark, folder: str) -> DataFrame:
+    return class_links(records(table(spark, folder, "documents"), table(spark, folder, "doc_chunk")))

@@ -52,12 +52,25 @@ def test_water_filling(spark, total):
     assert got == {s: pytest.approx(v) for s, v in want.items()}
 
 
+def test_total_of_what_is_held(spark):
+    docs = docs_of(spark, {"a": 300, "b": 100, "c": 10, "x": 50})
+    targets = spark.createDataFrame([("a", 0.4, 1), ("b", 0.4, 2), ("c", 0.1, 4), ("none", 0.1, 2)], TARGET)
+    shares = {r.source: r for r in mix.mix_shares(docs, targets, mix.HELD).collect()}
+    held = {s: shares[s].tokens_held for s in "abc"}
+    want = water(sum(held.values()), {"a": (0.4, held["a"], 1), "b": (0.4, held["b"], 2), "c": (0.1, held["c"], 4)})
+    assert all(shares[s].tokens == pytest.approx(want[s], abs=15) for s in "abc") and shares["c"].repetition == 4
+    rows = mix.mix(docs, targets, mix.HELD).groupBy("source").agg(F.sum(F.col("n_tokens") * F.col("repeats")).alias("n"), F.max("repeats").alias("m")).collect()
+    assert {(r.source, r.n) for r in rows} == {(s, shares[s].tokens) for s in "abc"} and all(r.m <= {"a": 1, "b": 2, "c": 4}[r.source] for r in rows)
+
+
 def test_many_buckets(spark, monkeypatch):
     monkeypatch.setattr(mix, "BUCKET_ROWS", 10)
     docs = docs_of(spark, {"a": 400, "b": 100})
     targets = spark.createDataFrame([("a", 0.5, 1), ("b", 0.5, 1)], TARGET)
     shares = {r.source: r for r in mix.mix_shares(docs, targets).collect()}
     assert shares["a"].actual_share == pytest.approx(0.5, abs=0.003) and shares["b"].docs_used == 100
+    monkeypatch.setattr(mix, "BUCKET_ROWS", 1)
+    assert mix.mix_shares(docs, targets).where("source = 'a'").first().actual_share == pytest.approx(0.5, abs=0.003)
 
 
 def test_empty_tables_and_nulls(spark):
@@ -103,6 +116,13 @@ def test_natural_cuts(spark):
     assert text[first.end_char :].lstrip().startswith("# Two")
 
 
+def test_overlap_is_what_was_asked_for(spark):
+    text = "".join(f"## Part {k}\n\nSome words about 日本語 and naïve_{k} calls(x[{k}]); it's fine.\n" for k in range(120))
+    pieces = split.split_documents(spark.createDataFrame([(1, text)], "doc_id long, text string"), 100, 20).orderBy("piece").collect()
+    encode = tokens.byte_bpe().encoding.encode_ordinary
+    assert len(pieces) > 20 and all(encode(a.text)[-20:] == encode(b.text)[:20] and len(encode(text[b.start_char : a.end_char])) == 20 for a, b in zip(pieces, pieces[1:]))
+
+
 def test_split_limits_and_empty_table(spark):
     limits = spark.createDataFrame([("document", 64, 8)], "granularity string, max_tokens long, overlap_tokens long")
     df = spark.createDataFrame([(1, "w " * 300)], "doc_id long, text string")
