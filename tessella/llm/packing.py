@@ -12,10 +12,10 @@ from tessella.spark_util import cut
 
 #: Items that one task fills containers with; more of a granularity are spread over several such groups.
 GROUP_ITEMS = 20_000
-#: Containers of each group, the last ones, whose items are packed once more with those of the other groups.
-REOPENED = 3
-#: Groups whose reopened containers one task packs; their rest is loose again, one container in as many groups.
-REOPENED_GROUPS = 500
+#: One in so many containers of each group (at least ``REOPENED_LEAST``), the last ones, is opened again and its items packed
+#: with those of so many groups; what is loose then is about one container in as many groups.
+REOPENED = 20
+REOPENED_LEAST = 5
 
 
 class _Sizes:
@@ -86,7 +86,7 @@ def best_two_fit(sizes: np.ndarray, capacity: int) -> list[list[int]]:
 
 
 def _fill(rows: pd.DataFrame) -> pd.DataFrame:
-    """Number of the container (and its free room) for the pieces of one group, and how many containers follow it."""
+    """Number of the container (and its free room) for the pieces of one group, and whether it is one of the last."""
     capacity = int(rows["capacity"].iloc[0])
     rows = rows.sort_values(["size", "seq", "item_id", "piece"], ignore_index=True, na_position="first")
     sizes = rows["size"].to_numpy(np.int64)
@@ -98,7 +98,7 @@ def _fill(rows: pd.DataFrame) -> pd.DataFrame:
         for size in own:
             container[first[size]], free[first[size]] = number, room
             first[size] += 1
-    return rows.assign(number=container, free=free, behind=len(bins) - 1 - container)
+    return rows.assign(number=container, free=free, tail=(len(bins) - container) <= max(REOPENED_LEAST, len(bins) // REOPENED))
 
 
 def pieces(items: DataFrame, limits: DataFrame) -> DataFrame:
@@ -129,19 +129,19 @@ def pack(items: DataFrame, limits: DataFrame, group_items: int = GROUP_ITEMS) ->
     text's characters, negative ones 0; null ids are left out; items of a
     granularity without a limit keep a null container. Only (id, seq, size) rows
     travel, spread by hash over groups of about ``group_items``, so a granularity that
-    holds most items is filled by many tasks. The last ``REOPENED`` containers of each
-    group, the loose ones, are opened again and their items packed together, by the
+    holds most items is filled by many tasks. The last containers of each
+    group, among them the loose ones, are opened again and their items packed together, by the
     same method; pieces of full capacity are a container of their own.
     """
     parts = pieces(items, limits)
     counts = parts.groupBy("granularity").agg(F.ceil(F.count(F.lit(1)) / F.lit(group_items)).alias("n_groups"))
     spread = parts.join(counts, "granularity").withColumn("grp", F.pmod(F.xxhash64("item_id", "piece"), F.col("n_groups")))
     full = spread.where("size = capacity").withColumn("container", F.concat_ws(":", F.lit("full"), "granularity", "item_id", "piece")).withColumn("free", F.lit(0).cast("long"))
-    fill = lambda rows: rows.groupBy("granularity", "grp").applyInPandas(_fill, ", ".join(f"{n} {t}" for n, t in rows.dtypes) + ", number long, free long, behind long")
-    named = lambda rows, name: rows.withColumn("container", F.concat_ws(":", F.lit(name), "granularity", "grp", "number")).drop("number", "behind")
+    fill = lambda rows: rows.groupBy("granularity", "grp").applyInPandas(_fill, ", ".join(f"{n} {t}" for n, t in rows.dtypes) + ", number long, free long, tail boolean")
+    named = lambda rows, name: rows.withColumn("container", F.concat_ws(":", F.lit(name), "granularity", "grp", "number")).drop("number", "tail")
     filled = cut(fill(spread.where("size < capacity")))
-    loose = (F.col("n_groups") > 1) & (F.col("behind") < REOPENED)
-    again = filled.where(loose).drop("number", "free", "behind").withColumn("grp", F.pmod(F.xxhash64("item_id", "piece"), F.ceil(F.col("n_groups") / F.lit(REOPENED_GROUPS))))
+    loose = (F.col("n_groups") > 1) & F.col("tail")
+    again = filled.where(loose).drop("number", "free", "tail").withColumn("grp", F.pmod(F.xxhash64("item_id", "piece"), F.ceil(F.col("n_groups") / F.lit(REOPENED))))
     packed = named(filled.where(~loose), "packed").unionByName(named(fill(again), "rest"))
     none = spread.where("capacity is null").withColumn("container", F.lit(None).cast("string")).withColumn("free", F.lit(None).cast("long"))
     out = full.unionByName(packed).unionByName(none)
