@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessella.functions.rust_items import RustSource
+from tessella.llm.rust_items import RustSource
 
 #: Words that say nothing, and first words that mark documentation still to be written.
 FILLERS = "a an and as at by for from in into is it of on or that the this to with".split()
