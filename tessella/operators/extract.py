@@ -1,14 +1,12 @@
-"""Code items of source files as fact tables.
+"""Code items of source files by pattern, as fact tables (by syntax: ``rust_facts``).
 
-Each file is read by one Python task batch and gives arrays of structs, one column
-per kind asked for; exploding them gives the fact tables. Files with null code give
-empty arrays; repeated rows of a file give their items each, so callers take files
-once or make the facts distinct.
+Each file is read by one Python task batch and gives an array of structs, which is
+exploded. Files with null code give no rows; repeated rows of a file give their
+items each, so callers take files once or make the facts distinct.
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -19,117 +17,24 @@ from pyspark.sql.types import ArrayType, StructType
 
 from tessella.functions import rust_patterns as patterns
 from tessella.functions.text import all_matches
-from tessella.functions.rust_items import RustSource, split_top
-
-FACTS = {
-    "functions": "start_line long, end_line long, name string, signature string, visibility string, full_text string, doc_comments string, is_async boolean, is_unsafe boolean, is_const boolean, is_pub boolean, generic_params array<string>, "
-    "where_clause string, params array<string>, return_type string, attributes array<string>, trait_name string, for_type string",
-    "calls": "caller_name string, caller_line long, callee_name string, qualified string, call_kind string, call_line long, place long",
-    "traits": "name string, line long, visibility string, super_traits array<string>, methods array<string>, associated_types array<string>, generics string, doc string",
-    "impls": "trait_name string, for_type string, line long, generics string, where_clause string, methods array<string>",
-    "imports": "raw string, is_pub boolean, path string, line long",
-    "types": "kind string, name string, line long, visibility string, derives array<string>, serde_attrs array<string>, attributes array<string>, code string",
-    "macros": "name string, kind string, line long, code string",
-    "whole_functions": "kind string, name string, line long, code string, trait_name string, is_public boolean, doc string, count long",
-    "whole_types": "kind string, name string, line long, code string, trait_name string, is_public boolean, doc string, count long",
-    "line_items": "kind string, name string, line long, code string, trait_name string, is_public boolean, doc string, count long",
-    "impl_blocks": "kind string, name string, line long, code string, trait_name string, is_public boolean, doc string, count long",
-}
-
-
-def _functions(rust: RustSource) -> list[dict]:
-    rows = []
-    for f in rust.functions():
-        within = rust.enclosing_impl(f["at"])
-        trait, for_type, _ = rust.impl_parts(within["header"]) if within else (None, None, None)
-        rows.append({**rust.describe(f), "trait_name": trait, "for_type": for_type})
-    return rows
-
-
-def _calls(rust: RustSource) -> list[dict]:
-    return [{"caller_name": f["name"], "caller_line": rust.line(f["at"]), "place": k, **c} for f in rust.functions() for k, c in enumerate(rust.calls(f))]
-
-
-def _methods(rust: RustSource, item: dict) -> list[str]:
-    return re.findall(r"\bfn\s+(\w+)", rust.text[item["body"] : item["end"]])
-
-
-def _traits(rust: RustSource) -> list[dict]:
-    rows = []
-    for x in rust.items:
-        if x["kind"] != "trait":
-            continue
-        head = re.split(r"\bwhere\b", x["header"][len("trait") :].strip().removeprefix(x["name"] or ""))[0]
-        generics = re.match(r"\s*<([^:]*?(?::[^>]*)?)>", head)
-        bounds = head[generics.end() :] if generics else head
-        supers = [b for b in split_top(bounds.partition(":")[2], "+")] if ":" in bounds else []
-        inner = rust.text[x["body"] : x["end"]]
-        rows.append({"name": x["name"], "line": rust.line(x["at"]), "visibility": x["visibility"], "super_traits": supers, "methods": _methods(rust, x), "associated_types": re.findall(r"\btype\s+(\w+)", inner), "generics": generics[1] if generics else "", "doc": rust._documentation(x["zone"], x["at"])})
-    return rows
-
-
-def _impls(rust: RustSource) -> list[dict]:
-    rows = []
-    for x in rust.items:
-        if x["kind"] == "impl":
-            trait, for_type, generics = rust.impl_parts(x["header"])
-            rows.append({"trait_name": trait, "for_type": for_type, "line": rust.line(x["at"]), "generics": generics, "where_clause": (re.split(r"\bwhere\b", x["header"])[1:] or [""])[0].strip() or None, "methods": _methods(rust, x)})
-    return rows
-
-
-def _imports(rust: RustSource) -> list[dict]:
-    rows = []
-    for x in rust.items:
-        if x["kind"] == "use":
-            raw = " ".join(rust.code[x["at"] : x["body"] + 1].split())
-            rows.append({"raw": raw, "is_pub": x["visibility"] == "pub", "path": raw[len("use") :].rstrip(";").strip(), "line": rust.line(x["at"])})
-    return rows
-
-
-def _types(rust: RustSource) -> list[dict]:
-    rows = []
-    for x in rust.items:
-        if x["kind"] in ("struct", "enum", "union"):
-            own = rust._attributes(x["zone"], x["at"])
-            inside = [re.match(r"#\s*\[\s*(\w+)\s*\((.*)\)\s*\]", a, re.S) for a in own]
-            rows.append({
-                "kind": x["kind"], "name": x["name"], "line": rust.line(x["at"]), "visibility": x["visibility"], "derives": [d for m in inside if m and m[1] == "derive" for d in split_top(m[2])],
-                "serde_attrs": [m[2].strip() for m in inside if m and m[1] == "serde"], "attributes": own, "code": rust.code[x["at"] : x["end"]],
-            })
-    return rows
-
-
-def _macros(rust: RustSource) -> list[dict]:
-    return [{"name": name, "kind": kind, "line": rust.line(a), "code": rust.code[a:b]} for a, b, name, kind in rust.macros]
-
-
-_PARSED = {"functions": _functions, "calls": _calls, "traits": _traits, "impls": _impls, "imports": _imports, "types": _types, "macros": _macros}
+
+ITEM = "kind string, name string, line long, code string, trait_name string, is_public boolean, doc string, count long"
 _MATCHED = {"whole_functions": patterns.functions, "whole_types": patterns.structs_and_impls, "line_items": patterns.by_line, "impl_blocks": patterns.impl_blocks}
 
 
-def parsed(files: DataFrame, kinds: list[str]) -> DataFrame:
-    """``file_id`` and an array of structs per kind, for the Rust files that have code."""
-    types = {k: ArrayType(StructType.fromDDL(FACTS[k])) for k in kinds}
-    arrow = {k: to_arrow_type(t) for k, t in types.items()}
+def facts(files: DataFrame, kind: str) -> DataFrame:
+    """``file_id`` and the items that a kind's patterns find in the Rust files."""
+    found = ArrayType(StructType.fromDDL(ITEM))
+    arrow = to_arrow_type(found)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 200):
                 part = batch.slice(at, 200)
-                columns: dict[str, list] = {k: [] for k in kinds}
-                for code in part.column(1).to_pylist():
-                    rust = RustSource(code) if any(k in _PARSED for k in kinds) else None
-                    for k in kinds:
-                        columns[k].append(_PARSED[k](rust) if k in _PARSED else _MATCHED[k](code))
-                yield pa.RecordBatch.from_arrays([part.column(0), *[pa.array(columns[k], arrow[k]) for k in kinds]], names=["file_id", *kinds])
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([_MATCHED[kind](x) for x in part.column(1).to_pylist()], arrow)], names=["file_id", "found"])
 
     source = files.where("code is not null").where(F.col("file_path").endswith(".rs")).select(F.col("file_id").cast("long"), "code")
-    return source.mapInArrow(read, "file_id long, " + ", ".join(f"{k} {t.simpleString()}" for k, t in types.items()))
-
-
-def facts(files: DataFrame, kind: str) -> DataFrame:
-    """The fact table of one kind: ``file_id`` and the kind's columns."""
-    return parsed(files, [kind]).select("file_id", F.explode(kind).alias("f")).select("file_id", "f.*")
+    return source.mapInArrow(read, f"file_id long, found {found.simpleString()}").select("file_id", F.explode("found").alias("f")).select("file_id", "f.*")
 
 
 def files_once(files: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessella.operators import extract, render, stats
+from tessella.operators import extract, render, rust_facts, stats
 from tessella.spark_util import cut
 
 TOP = 50
@@ -28,11 +28,14 @@ def frequent_macros(macros: DataFrame) -> DataFrame:
 
 
 def crate_analysis(files: DataFrame) -> DataFrame:
-    """Counts of all facts per crate; the facts are parsed and written once."""
-    kinds = list(extract._PARSED)
-    facts = cut(extract.parsed(files, kinds))
-    sized = facts.select("file_id", *[F.size(k).cast("long").alias(k) for k in kinds], F.size(F.filter("functions", lambda f: f["is_pub"])).cast("long").alias("public_functions"))
-    return sized.join(files.select("file_id", "crate"), "file_id").groupBy("crate").agg(F.count(F.lit(1)).alias("files"), *[F.sum(k).alias(k) for k in [*kinds, "public_functions"]])
+    """Counts of all facts per crate; the files are read once."""
+    lex, ev, items = rust_facts.read(files)
+    facts = items.where("body = '{' or kind in ('use', 'struct')").select("file_id", F.when(F.col("kind").isin("struct", "enum", "union"), "type").otherwise(F.col("kind")).alias("kind"), (F.col("visibility") == "pub").alias("is_pub"))
+    facts = facts.unionByName(rust_facts.macros(lex, ev).select("file_id", F.lit("macro").alias("kind"), F.lit(False).alias("is_pub"))).unionByName(rust_facts.calls(lex, ev, items).select("file_id", F.lit("call").alias("kind"), F.lit(False).alias("is_pub")))
+    per_file = facts.groupBy("file_id").agg(*[F.count_if(F.col("kind") == k).alias(f"{k}s") for k in ("type", "trait", "impl", "use", "macro", "call")], F.count_if(F.expr("kind = 'fn'")).alias("functions"), F.count_if(F.expr("kind = 'fn' and is_pub")).alias("public_functions"))
+    rust = files.where("code is not null and endswith(file_path, '.rs')").select("file_id", "crate")
+    counted = [c for c in per_file.columns if c != "file_id"]
+    return rust.join(per_file, "file_id", "left").groupBy("crate").agg(F.count(F.lit(1)).alias("files"), *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in counted])
 
 
 def _card(kind: str, key, *parts) -> list:
@@ -45,8 +48,8 @@ def _said(label: str, value: Column) -> Column:
 
 def pattern_cards(files: DataFrame, functions: DataFrame) -> DataFrame:
     """One card per mined pattern, all kinds in one table: ``pattern, key, content``."""
-    facts = cut(extract.parsed(files, ["types", "macros", "impls"]))
-    each = lambda kind: facts.select("file_id", F.explode(kind).alias("f")).select("file_id", "f.*")
+    lex, ev, items = rust_facts.read(files)
+    each = {"types": rust_facts.types(items), "macros": rust_facts.macros(lex, ev), "impls": rust_facts.impls(items)}.__getitem__
     sets = derive_sets(each("types"))
     once = functions.select("file_id", "start_line", "name", "crate", "signature", "return_type", "is_async", "is_pub").distinct()
     key = F.concat_ws(":", "file_id", "start_line", "name")
@@ -72,10 +75,11 @@ def pattern_cards(files: DataFrame, functions: DataFrame) -> DataFrame:
 
 def file_cards(files: DataFrame, per_crate: int = 20) -> DataFrame:
     """Whole files with what they contain: files with types, and the largest files of each crate between 1 000 and 100 000 bytes."""
-    facts = extract.parsed(files, ["types", "functions", "impls"])
-    of = lambda kind: F.size(F.filter("types", lambda t: t["kind"] == kind)).cast("string")
+    items = rust_facts.read(files)[2]
+    n = lambda kind: F.count_if(F.expr(f"kind = '{kind}' and (kind = 'struct' or body = '{{')")).cast("string")
     head = F.concat(F.lit(f"// Repository: {render.REPOSITORY}\n// Crate: "), F.coalesce("crate", F.lit("")), F.lit("\n// File: "), "file_path")
-    typed = facts.where(F.size("types") > 0).select("file_id", F.concat(F.lit("\n// Contains: "), of("struct"), F.lit(" structs, "), of("enum"), F.lit(" enums, "), F.size("functions").cast("string"), F.lit(" functions, "), F.size("impls").cast("string"), F.lit(" impls")).alias("_has"))
+    has = F.concat(F.lit("\n// Contains: "), n("struct"), F.lit(" structs, "), n("enum"), F.lit(" enums, "), n("fn"), F.lit(" functions, "), n("impl"), F.lit(" impls"))
+    typed = items.groupBy("file_id").agg(has.alias("_has"), F.count_if(F.expr("kind in ('struct', 'enum', 'union')")).alias("_n")).where("_n > 0").drop("_n")
     cards = files.join(typed, "file_id").select(F.lit("types").alias("kind"), "file_id", F.concat(head, F.col("_has"), F.lit("\n\n"), "code", F.lit("\n")).alias("content"))
     sized = files.select("file_id", "crate", F.octet_length("code").alias("n")).where("n > 1000 and n < 100000")
     largest = stats.top_k_per_group(sized, ["crate"], [F.desc("n"), F.asc("file_id")], per_crate).select("file_id")

@@ -13,8 +13,7 @@ from pyspark.sql import functions as F
 
 from tessella.functions import text as T
 from tessella.functions.paths import language_of
-from tessella.operators import extract, graph, stats
-from tessella.spark_util import cut
+from tessella.operators import extract, graph, rust_facts, stats
 
 REPOSITORY = "corpus"
 SHOWN = 10
@@ -151,16 +150,15 @@ def crate_headers(crates: DataFrame) -> DataFrame:
 
 def crate_cards(crates: DataFrame, files: DataFrame, shown: int = 20) -> DataFrame:
     """Crate headers with the first public names in order: ``crate, content``."""
-    parsed = extract.parsed(files, ["types", "traits"])
-    facts = cut(parsed.select("file_id", F.transform(F.filter("types", lambda t: t["kind"] == "struct"), lambda t: t["name"]).alias("structs"), F.transform("traits", lambda t: t["name"]).alias("traits")))
+    items = rust_facts.read(files)[2]
     of = files.select("file_id", "crate")
 
-    def names(column: str, label: str) -> DataFrame:
-        once = facts.select("file_id", F.explode(column).alias("name")).join(of, "file_id").select("crate", "name").distinct()
+    def names(kind: str, label: str) -> DataFrame:
+        once = items.where(F.col("kind") == kind).select("file_id", "name").join(of, "file_id").select("crate", "name").distinct()
         few = stats.top_k_per_group(once, ["crate"], [F.asc("name")], shown)
         return few.groupBy("crate").agg(F.concat(F.lit(f"\n{label}: "), F.array_join(F.sort_array(F.collect_list("name")), ", ")).alias(label))
 
-    rows = _crate_lines(crates).join(names("structs", "Structs"), "crate", "left").join(names("traits", "Traits"), "crate", "left")
+    rows = _crate_lines(crates).join(names("struct", "Structs"), "crate", "left").join(names("trait", "Traits"), "crate", "left")
     return rows.select("crate", lines(F.col("header"), F.lit("\n## Public API"), F.col("Structs"), F.col("Traits")).alias("content"))
 
 
@@ -174,13 +172,16 @@ def repository_card(crates: DataFrame) -> DataFrame:
 
 def module_cards(files: DataFrame, modules: int | None = 100) -> DataFrame:
     """The first modules by order that have types: names, imports and the number of functions."""
-    facts = extract.parsed(files, ["types", "functions", "imports"])
-    rows = facts.join(files.select("file_id", "crate", "module", "seq"), "file_id").where(F.size("types") > 0)
-    of = lambda kind: F.array_join(F.slice(F.transform(F.filter("types", lambda t: t["kind"] == kind), lambda t: t["name"]), 1, 20), ", ")
-    uses = F.array_join(F.transform(F.slice("imports", 1, SHOWN), lambda i: F.concat(F.lit("// "), i["raw"])), "\n")
+    items = rust_facts.read(files)[2]
+    placed = lambda kind, *columns: F.sort_array(F.collect_list(F.when(F.col("kind") == kind, F.struct("line", *columns))))
+    facts = items.groupBy("file_id").agg(placed("struct", "name").alias("structs"), placed("enum", "name").alias("enums"), placed("union", "name").alias("unions"), F.count_if(F.expr("kind = 'fn' and body = '{'")).alias("n"), F.count_if(F.expr("kind in ('struct', 'enum', 'union')")).alias("n_types"))
+    raw = rust_facts.imports(items).groupBy("file_id").agg(F.sort_array(F.collect_list(F.struct("line", "raw"))).alias("imports"))
+    rows = facts.where("n_types > 0").join(raw, "file_id", "left").join(files.select("file_id", "crate", "module", "seq"), "file_id")
+    of = lambda kind: F.array_join(F.slice(F.transform(kind, lambda t: t["name"]), 1, 20), ", ")
+    uses = F.array_join(F.transform(F.slice(F.coalesce("imports", F.array().cast("array<struct<line: bigint, raw: string>>")), 1, SHOWN), lambda i: F.concat(F.lit("// "), i["raw"])), "\n")
     content = lines(
-        F.concat(F.lit("// MODULE: "), F.coalesce("module", F.lit(""))), F.concat(F.lit("// CRATE: "), F.coalesce("crate", F.lit(""))), F.concat(F.lit("\n// Structs: "), of("struct")), F.concat(F.lit("// Enums: "), of("enum")),
-        F.concat(F.lit("// Functions: "), F.size("functions").cast("string")), F.concat(F.lit("\n// Imports:\n"), uses),
+        F.concat(F.lit("// MODULE: "), F.coalesce("module", F.lit(""))), F.concat(F.lit("// CRATE: "), F.coalesce("crate", F.lit(""))), F.concat(F.lit("\n// Structs: "), of("structs")), F.concat(F.lit("// Enums: "), of("enums")),
+        F.concat(F.lit("// Functions: "), F.col("n").cast("string")), F.concat(F.lit("\n// Imports:\n"), uses),
     )
     out = rows.select("seq", "file_id", "crate", "module", content.alias("content")).orderBy("seq", "file_id")
     return out.limit(modules) if modules else out
@@ -188,15 +189,15 @@ def module_cards(files: DataFrame, modules: int | None = 100) -> DataFrame:
 
 def trait_cards(files: DataFrame) -> DataFrame:
     """Traits with their first implementors and method stubs."""
-    facts = cut(extract.parsed(files, ["traits", "impls"])).join(files.select("file_id", "crate", "module"), "file_id")
-    traits = facts.select("file_id", "crate", "module", F.explode("traits").alias("t")).select("file_id", "crate", "module", "t.*")
-    bare = F.regexp_replace("i.trait_name", r"<[\s\S]*", "")
-    impls = facts.select("file_id", F.explode("impls").alias("i")).where("i.trait_name is not null").select(F.regexp_extract(bare, r"(\w+)\z", 1).alias("name"), "file_id", F.col("i.for_type").alias("for_type")).distinct()
+    items = rust_facts.read(files)[2]
+    traits = rust_facts.traits(items).join(files.select("file_id", "crate", "module"), "file_id")
+    bare = F.regexp_replace("trait_name", r"<[\s\S]*", "")
+    impls = rust_facts.impls(items).where("trait_name is not null").select(F.regexp_extract(bare, r"(\w+)\z", 1).alias("name"), "file_id", "for_type").distinct()
     first = _first(impls, ["name"], ["file_id", "for_type"]).select("name", F.array_join(F.transform("first", lambda x: x["for_type"]), ", ").alias("_types"))
     rows = traits.join(first, "name", "left")
     stubs = F.array_join(F.transform("methods", lambda m: F.concat(F.lit("    fn "), m, F.lit("(...);"))), "\n")
     content = lines(
-        F.concat(F.lit("// TRAIT: "), "name"), F.concat(F.lit("// CRATE: "), F.coalesce("crate", F.lit(""))), F.concat(F.lit("// MODULE: "), F.coalesce("module", F.lit(""))), when_text("// SUPER_TRAITS: ", F.array_join("super_traits", ", ")), F.concat(F.lit("// IMPLEMENTATIONS: "), "_types"),
+        F.concat(F.lit("// TRAIT: "), "name"), F.concat(F.lit("// CRATE: "), F.coalesce("crate", F.lit(""))), F.concat(F.lit("// MODULE: "), F.coalesce("module", F.lit(""))), when_text("// SUPER_TRAITS: ", F.array_join(F.split("super_traits", r" ?\+ ?"), ", ")), F.concat(F.lit("// IMPLEMENTATIONS: "), "_types"),
         when_text("\n", T.strip("doc")), F.concat(F.lit("\npub trait "), "name", F.lit(" {")), F.nullif(stubs, F.lit("")), F.lit("}"),
     )
     return rows.select("file_id", "line", "name", content.alias("content"))

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tessella.functions import paths as P
 from tessella.functions.text import lines_between
-from tessella.operators import extract, graph, mining, render
+from tessella.operators import extract, graph, mining, render, rust_facts
 from tessella.plans.relational_queries import _SCORED
 from tessella.spark_util import cut, table
 
@@ -28,13 +28,7 @@ def _once(s, d):
     return extract.files_once(table(s, d, "src_file"))
 
 
-@query()
-def E1_E2_parse(s, d):
-    """Items of every kind per file, from one parse."""
-    return extract.parsed(_once(s, d), list(extract._PARSED)).select("file_id", *[F.size(k).alias(f"n_{k}") for k in extract._PARSED])
-
-
-for _op, _kind in {"E3_functions": "functions", "E4_calls": "calls", "E5_traits": "traits", "E6_impls": "impls", "E7_imports": "imports", "E8_E9_types": "types", "E12_macros": "macros", "E13_functions_regex": "whole_functions", "E14_structs_impls_regex": "whole_types"}.items():
+for _op, _kind in {"E13_functions_regex": "whole_functions", "E14_structs_impls_regex": "whole_types"}.items():
     query(name=_op)(lambda s, d, kind=_kind: extract.facts(_once(s, d), kind))
 for _op, _item in {"E15_X19_functions_by_line": "function", "E16_structs_by_line": "struct", "E17_traits_by_line": "trait", "E18_impls_by_line": "impl"}.items():
     query(name=_op)(lambda s, d, item=_item: extract.facts(_once(s, d), "line_items").where(F.col("kind") == item))
@@ -46,14 +40,6 @@ def E10_schema_macros(s, d):
     return extract.schema_macros(_once(s, d), "table_def")
 
 
-@query()
-def E11_attributed_enums(s, d):
-    """Enums and structs with a given attribute and the first name in it."""
-    enums = extract.facts(_once(s, d), "types")
-    with_it = enums.withColumn("attribute", F.explode(F.filter("attributes", lambda a: a.contains("derive("))))
-    return with_it.select("file_id", "kind", "name", "line", "attribute", F.regexp_extract("attribute", r"\((\w+)", 1).alias("storage_type"))
-
-
 @query(r"""with f as (select file_id, max(code) code from src_file where code is not null group by 1),
     u as (select file_id, 'use' as kind, unnest(regexp_extract_all(code, 'use[ \t\n\r]+([^;]+);', 1)) as name from f),
     p as (select file_id, 'pub' as kind, unnest(regexp_extract_all(code, 'pub[ \t\n\r]+(?:async[ \t\n\r]+)?(?:fn|struct|enum|trait|type|const|static)[ \t\n\r]+([A-Za-z0-9_]+)', 1)) as name from f)
@@ -78,7 +64,7 @@ def X21_surrounding_lines(s, d):
 @query()
 def P1_serde(s, d):
     """The most frequent sets of derives and serde arguments, with their first types."""
-    return mining.derive_sets(extract.facts(_once(s, d), "types"))
+    return mining.derive_sets(rust_facts.types(rust_facts.read(_once(s, d))[2]))
 
 
 @query()
@@ -86,13 +72,13 @@ def P2_schema_tables(s, d):
     """Table macros and attributed enums, by file."""
     files = _once(s, d)
     tables = extract.schema_macros(files, "table_def").select(F.lit("table").alias("kind"), "file_id", F.regexp_extract("code", r"\{\s*(\w+)", 1).alias("name"), "code")
-    enums = extract.facts(files, "types").where("kind = 'enum' and size(attributes) > 0").select(F.lit("enum").alias("kind"), "file_id", "name", "code")
+    enums = rust_facts.types(rust_facts.read(files)[2]).where("kind = 'enum' and size(attributes) > 0").select(F.lit("enum").alias("kind"), "file_id", "name", "code")
     return tables.unionByName(enums)
 
 
 @query()
 def P3_macros(s, d):
-    return mining.frequent_macros(extract.facts(_once(s, d), "macros"))
+    return mining.frequent_macros(rust_facts.macros(*rust_facts.read(_once(s, d))[:2]))
 
 
 @query()
@@ -123,10 +109,9 @@ def T2_clm(s, d):
     return _functions(s, d).select("file_id", "start_line", "name", render.clm().alias("content"))
 
 
-@query(f"""select file_id, start_line, name, '<fim_prefix>' || {_CTX} || chr(10) || chr(10) || signature || ' {{<fim_suffix>' || chr(10) || '}}<fim_middle>' || regexp_extract(full_text, '\\{{[\\s\\S]*') || '<|endoftext|>' as content from {_F} where contains(signature, 'pub fn')""")
+@query(f"""select file_id, start_line, name, '<fim_prefix>' || {_CTX} || chr(10) || chr(10) || signature || ' {{<fim_suffix>' || chr(10) || '}}<fim_middle>' || regexp_extract(full_text, '\\{{[\\s\\S]*') || '<|endoftext|>' as content from {_F}""")
 def T3_fim(s, d):
-    rows = _functions(s, d).where(F.col("signature").contains("pub fn"))
-    return rows.select("file_id", "start_line", "name", render.fim(F.regexp_extract("full_text", r"\{[\s\S]*", 0)).alias("content"))
+    return _functions(s, d).select("file_id", "start_line", "name", render.fim(F.regexp_extract("full_text", r"\{[\s\S]*", 0)).alias("content"))
 
 
 _EDGES = f"""f as (select * from {_F}), e as (select distinct caller_file_id, caller_line, callee_name, call_kind, call_line from fn_call where callee_name not in {graph.COMMON_CALLS}),

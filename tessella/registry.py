@@ -8,10 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tessella.functions.text import token_count
 from tessella.operators import extract, packing
-from tessella.plans import chunk_queries, code_queries, relational_queries, source_queries, text_queries
+from tessella.plans import chunk_queries, code_queries, relational_queries, rust_queries, source_queries, text_queries
 from tessella.spark_util import table
 
-_MODULES = (text_queries, relational_queries, chunk_queries, code_queries, source_queries)
+_MODULES = (text_queries, relational_queries, chunk_queries, code_queries, rust_queries, source_queries)
 
 
 def flagship(spark: SparkSession, folder: str) -> DataFrame:

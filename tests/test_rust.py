@@ -1,6 +1,5 @@
 from tessella.functions import rust_patterns as R
-from tessella.functions.rust_items import RustSource, split_top
-from tessella.operators import extract
+from tessella.operators import rust_facts
 
 CODE = '''
 use std::fmt::{self, Display};
@@ -37,52 +36,41 @@ type Callback = fn(i64) -> i64;
 '''
 
 
-def test_functions():
-    rust = RustSource(CODE)
-    assert [f["name"] for f in rust.functions()] == ["hello", "inner", "twice", "from", "new"]
-    hello = rust.describe(rust.functions()[0])
-    assert hello["doc_comments"] == " Says hello."
-    assert (hello["visibility"], hello["is_async"], hello["is_const"]) == ("pub(crate)", True, False)
-    assert hello["generic_params"] == ["'a", "T: Into<String>"]
-    assert hello["params"] == ["name: &'a str", "x: [u8; { 1 + 2 }]"]
-    assert hello["return_type"] == "Result<T, Box<dyn Fn(u32) -> bool>>"
-    assert hello["where_clause"] == "T: Clone"
-    assert hello["attributes"] == ["#[must_use]"]
-    assert hello["full_text"].startswith("pub(crate) async fn hello") and hello["full_text"].endswith("Ok(inner())\n}")
-    assert CODE.split("\n")[hello["start_line"] - 1].startswith("pub(crate) async fn")
-    new = rust.describe(rust.functions()[4])
-    assert new["is_const"] and new["signature"] == "const fn new() -> Self"
-
-
-def test_facts():
-    rust = RustSource(CODE)
-    calls = [(c["callee_name"], c["call_kind"]) for c in rust.calls(rust.functions()[0])]
-    assert calls == [("call", "scoped"), ("method", "method"), ("direct", "direct"), ("Ok", "direct"), ("inner", "direct")]
-    impls = extract._impls(rust)
-    assert [(x["trait_name"], x["for_type"], x["methods"]) for x in impls] == [("From<Point<T>>", "Kind", ["from"]), (None, "Kind", ["new"])]
-    types = extract._types(rust)
-    assert [(t["kind"], t["name"], t["derives"], t["serde_attrs"]) for t in types] == [("struct", "Point", ["Debug", "Clone"], ['rename_all = "lowercase"']), ("enum", "Kind", [], [])]
-    trait = extract._traits(rust)[0]
-    assert (trait["name"], trait["super_traits"], trait["methods"], trait["associated_types"]) == ("Shape", ["Display", "Clone"], ["area", "twice"], ["Unit"])
-    assert [(i["path"], i["is_pub"]) for i in extract._imports(rust)] == [("std::fmt::{self, Display}", False), ("crate::one::Two", True)]
-    assert [(m["name"], m["kind"]) for m in extract._macros(rust)] == [("println", "call"), ("make", "definition"), ("make", "call")]
-
-
-def test_odd_texts():
-    for code in ("", "\n", "fn", "fn x() {", "}}}} fn ok() {}", '"open string fn x() {}', "/* open fn x() {}", "r#\"open", "#[open", "fn f<", "é fn naïve() {}", "\r\nfn crlf() {}\r\n", "x!(", "'"):
-        names = [f["name"] for f in RustSource(code).functions()]
-        assert names == {"}}}} fn ok() {}": ["ok"], "é fn naïve() {}": [], "\r\nfn crlf() {}\r\n": ["crlf"]}.get(code, [])
-
-
-def test_signatures_with_expressions():
-    code = "fn a() -> [u8; 1 << 3] { x() }\nfn b<const N: usize = { 1 }>(x: Foo<{ 2 > 1 }>) -> Foo<{ N }> where [(); N]: Sized { }\nunsafe extern \"C\" fn c();\npub(in crate::x) const unsafe extern \"C\" fn d() {}\nfn e(f: fn(u8) -> u8) -> impl Fn() -> u8 + 'static { f }"
-    assert [f["name"] for f in RustSource(code).functions()] == ["a", "b", "d", "e"]
-    assert RustSource(code).functions()[2]["visibility"] == "pub(in crate::x)"
-
-
-def test_split_top():
-    assert split_top("a, b<c, d>, fn(e, f) -> g,") == ["a", "b<c, d>", "fn(e, f) -> g"]
-    assert split_top("") == []
+ODD = ["", "\n", "fn", "fn x() {", '"open string fn x() {}', "/* open fn x() {}", 'r#"open', "#[open", "fn f<", "x!(", "'", rust_facts.MARK, None]
+
+
+def read(spark):
+    rows = [(1, "a.rs", CODE), (1000, "a.py", "fn no() {}")] + [(10 + k, f"{k}.rs", x) for k, x in enumerate(ODD)] + [(50, "b.rs", "}}}} fn ok() {}"), (51, "c.rs", "\r\nfn crlf() {}\r\n"), (52, "d.rs", "/* a /* b */ fn no() {} */ é fn no() {}\nfn yes() { " + rust_facts.MARK + " }")]
+    return rust_facts.read(spark.createDataFrame(rows, "file_id long, file_path string, code string").withColumn("text", rust_facts.F.lit("clash")))
+
+
+def test_functions(spark):
+    rows = rust_facts.functions(read(spark)[2]).orderBy("file_id", "open").collect()
+    assert [(r.file_id, r.name) for r in rows] == [(1, "hello"), (1, "inner"), (1, "twice"), (1, "from"), (1, "new"), (50, "ok"), (51, "crlf"), (52, "yes")]
+    hello, new = rows[0], rows[4]
+    assert hello.doc_comments == " Says hello." and (hello.visibility, hello.is_async, hello.is_const) == ("pub(crate)", True, False)
+    assert hello.generics == "<'a, T: Into<String>>" and hello.params == "(name: &'a str, x: [u8; { 1 + 2 }])"
+    assert hello.return_type == "Result<T, Box<dyn Fn(u32) -> bool>>" and hello.where_clause == "T: Clone," and hello.attributes == "#[must_use]"
+    assert hello.full_text.startswith("pub(crate) async fn hello") and hello.full_text.endswith("Ok(inner())\n}")
+    assert CODE.split("\n")[hello.start_line - 1].startswith("pub(crate) async fn") and CODE.split("\n")[hello.end_line - 1] == "}"
+    assert new.is_const and new.signature == "const fn new() -> Self" and (rows[3].trait_name, rows[3].for_type, new.for_type) == ("From<Point<T>>", "Kind", "Kind")
+
+
+def test_facts(spark):
+    lex, ev, items = read(spark)
+    lex, ev, items = (x.where("file_id = 1") for x in (lex, ev, items))
+    calls = rust_facts.calls(lex, ev, items).where("caller_name = 'hello'").orderBy("pos").collect()
+    assert [(c.callee_name, c.call_kind) for c in calls] == [("call", "scoped"), ("method", "method"), ("direct", "direct"), ("Ok", "direct"), ("inner", "direct")]
+    assert calls[0].qualified == "other::call" and calls[0].call_line == 14
+    impls = rust_facts.with_methods(rust_facts.impls(items), items).orderBy("line").collect()
+    assert [(x.trait_name, x.for_type, x.methods, x.generics, x.where_clause) for x in impls] == [("From<Point<T>>", "Kind", ["from"], "<T>", "T: Copy"), (None, "Kind", ["new"], "", None)]
+    types = rust_facts.types(items).orderBy("line").collect()
+    assert [(t.kind, t.name, t.derives, t.serde_attrs) for t in types] == [("struct", "Point", ["Debug", "Clone"], ['rename_all = "lowercase"']), ("enum", "Kind", [], [])]
+    trait = rust_facts.traits(items).first()
+    assert (trait["name"], trait.super_traits, trait.methods, trait.associated_types) == ("Shape", "Display + Clone", ["area", "twice"], "Unit")
+    assert [(i.path, i.is_pub) for i in rust_facts.imports(items).orderBy("line").collect()] == [("std::fmt::{self, Display}", False), ("crate::one::Two", True)]
+    assert [(m["name"], m.kind) for m in rust_facts.macros(lex, ev).orderBy("line").collect()] == [("println", "call"), ("make", "definition"), ("make", "call")]
+    assert rust_facts.attributed_enums(items, "derive(").count() == 0
 
 
 def test_patterns():
