@@ -11,7 +11,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessella.functions.text import all_matches, lines_between
+from tessella.spark_util import cut
 
+#: Calls that say nothing about a program's structure.
 COMMON_CALLS = ("Some", "None", "Ok", "Err", "println", "print", "format", "vec", "panic", "assert", "unwrap", "expect")
 
 
@@ -116,26 +118,24 @@ def trait_impls(functions: DataFrame) -> DataFrame:
     return named.select("file_id", "crate", F.regexp_replace("impl_context.trait_name", r"<[\s\S]*", "").alias("trait"), F.col("impl_context.for_type").alias("for_type")).distinct()
 
 
+GRAM = 3
+
+
 def importing_files(deps: DataFrame, files: DataFrame) -> DataFrame:
     """Files that import text naming a crate's dependency.
 
-    The substring test becomes an equi-join: dependency names are identifiers, so an
-    import contains one exactly if one of the import's substrings at that name's
-    length equals it. Only the distinct names (a short list) and their lengths are
-    broadcast; imports are cut into those lengths.
+    Names hold no white space, so an import contains one where one of its words does.
+    Each distinct word is cut into its substrings of up to ``GRAM`` characters, and a
+    name meets the words that hold its first ones by equality; then the whole name is
+    looked for. Null and empty names match nothing.
     """
-    uses = files.where("code is not null").select("crate", "file_id", F.explode(F.array_distinct(F.transform(all_matches("code", r"use [^;]+;", (0,)), lambda m: m[0]))).alias("u")).withColumnRenamed("crate", "using_crate")
-    names = deps.select("dep").distinct()
-    hit = uses.join(F.broadcast(names), F.col("u").contains(F.col("dep"))) if names.count() <= 2_000 else _by_words(uses, names)
-    return deps.join(hit.select("dep", "using_crate", "file_id").distinct(), "dep").select("crate", "dep", "using_crate", "file_id").distinct()
-
-
-def _cuts(text: str, size: int) -> Column:
-    """All substrings of one length."""
-    last = F.greatest(F.length(text) - size + 1, F.lit(1))
-    return F.transform(F.sequence(F.lit(1), last), lambda at: F.substring(text, at, F.lit(size)))
-
-
-def _by_words(uses: DataFrame, names: DataFrame) -> DataFrame:
-    lengths = [r[0] for r in names.select(F.length("dep")).distinct().collect()]  # of identifiers: a few dozen at most
-    return uses.withColumn("dep", F.explode(F.array_distinct(F.flatten(F.array(*[_cuts("u", n) for n in lengths]))))).join(names, "dep")
+    uses = files.where("code is not null").select("crate", "file_id", F.explode(F.array_distinct(F.transform(all_matches("code", r"use [^;]+;", (0,)), lambda m: m[0]))).alias("u"))
+    words = cut(uses.select(F.col("crate").alias("using_crate"), "file_id", F.explode(F.array_distinct(F.split("u", r"\s+"))).alias("word")).where("word <> ''").distinct())
+    starts = F.sequence(F.lit(1), F.length("word"))
+    cuts = lambda n: F.transform(starts, lambda at: F.substring("word", at, F.lit(n)))
+    grams = F.flatten(F.array(*[cuts(n) for n in range(1, GRAM + 1)]))
+    each = words.select("word").distinct().select("word", F.explode(F.array_distinct(grams)).alias("gram"))
+    names = deps.where("dep <> ''").select("dep").distinct().withColumn("gram", F.substring("dep", 1, GRAM))
+    held = each.join(names, "gram").where(F.col("word").contains(F.col("dep"))).select("word", "dep")
+    hit = words.join(held, "word").select("dep", "using_crate", "file_id").distinct()
+    return deps.join(hit, "dep").select("crate", "dep", "using_crate", "file_id").distinct()

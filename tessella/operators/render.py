@@ -248,16 +248,26 @@ def item_comments(files: DataFrame) -> DataFrame:
     return rows.select("file_id", "kind", "name", "line", text.alias("text")).withColumn("n_tokens", T.token_count("text"))
 
 
-def documentation_tags(chunks: DataFrame, snippets: DataFrame) -> DataFrame:
-    """Chunks as prose, fenced code and referenced source lines, each in its tag: ``chunk_id, text, source``."""
+def documentation_tags(chunks: DataFrame, snippets: DataFrame, layout: str = "interleaved") -> DataFrame:
+    """Chunks as prose, fenced code and referenced source lines, each in its tag: ``chunk_id, part, text, source``.
+
+    ``interleaved``: one text of a chunk, prose, blocks and snippets in this order.
+    ``separate``: two texts, the prose (part 0) and all code (part 1). ``pairs``: a
+    text for each block or snippet, the prose before it. Chunks without prose give code
+    alone, those with neither no text; null contents count as empty.
+    """
     code = F.concat(F.lit('<code language="'), language_of(F.col("file_path")), F.lit('" source="'), "file_path", F.lit('">\n'), "code", F.lit("\n</code>"))
     found = snippets.where("code <> ''").select("chunk_id", "file_path", "start_line", code.alias("_x")).distinct()
     sources = found.groupBy("chunk_id").agg(F.transform(F.sort_array(F.collect_list(F.struct("file_path", "start_line", "_x"))), lambda x: x["_x"]).alias("_s"))
-    prose = F.when(T.without_code_blocks("content") != "", F.concat(F.lit("<doc>\n"), T.without_code_blocks("content"), F.lit("\n</doc>")))
+    prose = F.array_compact(F.array(F.when(T.without_code_blocks("content") != "", F.concat(F.lit("<doc>\n"), T.without_code_blocks("content"), F.lit("\n</doc>")))))
     inline = F.transform(T.code_blocks("content"), lambda b: F.concat(F.lit('<code language="'), b["language"], F.lit('">\n'), b["code"], F.lit("\n</code>")))
     none = F.array().cast("array<string>")
-    text = F.array_join(F.concat(F.array_compact(F.array(prose)), F.coalesce(inline, none), F.coalesce("_s", none)), "\n\n")
-    return chunks.join(sources, "chunk_id", "left").select("chunk_id", text.alias("text"), F.lit("documentation").alias("source"))
+    codes = F.concat(F.coalesce(inline, none), F.coalesce("_s", none))
+    rows = chunks.join(sources, "chunk_id", "left").select("chunk_id", prose.alias("_d"), codes.alias("_c"))
+    join = lambda x: F.array_join(x, "\n\n")
+    texts = {"interleaved": F.array(join(F.concat("_d", "_c"))), "separate": F.array(join("_d"), join("_c")), "pairs": F.transform("_c", lambda c: join(F.concat("_d", F.array(c))))}[layout]
+    each = rows.select("chunk_id", F.posexplode(texts).alias("part", "text"))
+    return (each if layout == "interleaved" else each.where("text <> ''")).select("chunk_id", "part", "text", F.lit("documentation").alias("source"))
 
 
 def code_tags(files: DataFrame) -> DataFrame:

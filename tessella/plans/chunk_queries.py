@@ -101,16 +101,42 @@ def _split(s, d, per_line: bool):
     return large.select("item_id", "part", "p.text", "p.n_tokens")
 
 
-@query()
+_BIG = """once as (select item_id, arg_max(struct_pack(g := granularity, c := crate, q := seq, t := text, n := length(text) // 4), ingested_at) r from pack_item group by 1), l as (select item_id, unnest(string_split(r.t, chr(10))) line, generate_subscripts(string_split(r.t, chr(10)), 1) k from once where r.n > 512)"""
+
+
+@query(f"""with recursive {_BIG}, f as (select item_id, k, 0 as part, line as t, length(line) // 4 as n from l where k = 1
+        union all select l.item_id, l.k, case when f.t <> '' and (length(f.t) + 1 + length(line)) // 4 > 512 then part + 1 else part end, case when f.t <> '' and (length(f.t) + 1 + length(line)) // 4 > 512 then line else f.t || chr(10) || line end,
+            case when f.t <> '' and (length(f.t) + 1 + length(line)) // 4 > 512 then length(line) // 4 else (length(f.t) + 1 + length(line)) // 4 end from f join l on l.item_id = f.item_id and l.k = f.k + 1)
+    select item_id, part, arg_max(t, k) as text, arg_max(n, k) as n_tokens from f group by 1, 2""")
 def C7_split_oversize(s, d):
     return _split(s, d, per_line=False)
 
 
-@query()
+_PARTS = f"""{_BIG}, o as (select *, (length(line) + 1) // 4 n from l), f as (select item_id, k, line, n, 0 as part, n as total from o where k = 1
+        union all select o.item_id, o.k, o.line, o.n, case when f.total + o.n > 512 then part + 1 else part end, case when f.total + o.n > 512 then o.n else f.total + o.n end from f join o on o.item_id = f.item_id and o.k = f.k + 1)"""
+
+
+@query(f"with recursive {_PARTS} select item_id, part, string_agg(line, chr(10) order by k) as text, cast(sum(n) as bigint) as n_tokens from f group by 1, 2")
 def C8_split_oversize(s, d):
     return _split(s, d, per_line=True)
 
 
+@query(f"""with recursive {_PARTS}, each as (select item_id, part, cast(sum(n) as bigint) n, 513 as size from f group by 1, 2 union all select item_id, 0, coalesce(r.n, 0), coalesce(r.n, 0) from once where r.n <= 512 or r.n is null),
+        p as (select r.g g, r.c c, n, size, row_number() over (partition by r.g, r.c order by r.q, item_id, part) k from each join once using (item_id)),
+        h as (select g, c, k, n, 0 as chunk, case when size > 512 then 0 else size end as total, size <= 512 as holds from p where k = 1
+            union all select p.g, p.c, p.k, p.n, case when p.size > 512 or not h.holds or h.total + p.size > 512 then h.chunk + 1 else h.chunk end,
+                case when p.size > 512 then 0 when not h.holds or h.total + p.size > 512 then p.size else h.total + p.size end, p.size <= 512 from h join p on p.g = h.g and p.c = h.c and p.k = h.k + 1)
+    select g as granularity, c as crate, chunk, count(*) as n_items, cast(sum(n) as bigint) as n_tokens from h group by all""")
+def C8_pack_samples(s, d):
+    """Items in order, at most 512 tokens to a chunk; oversize ones cut at line ends first, each part a chunk of its own with the sum of its lines' tokens."""
+    items = _items(s, d)
+    parts = _split(s, d, per_line=True).select("item_id", "part", F.col("n_tokens").alias("own"), F.lit(513).cast("long").alias("size"))
+    small = items.where("n <= 512 or n is null").select("item_id", F.lit(0).alias("part"), F.coalesce("n", F.lit(0)).alias("own"), F.coalesce("n", F.lit(0)).alias("size"))
+    each = cut(parts.unionByName(small).join(items.select("item_id", "granularity", "crate", "seq"), "item_id"))
+    packed = packing.pack_in_order(each, ["granularity", "crate"], ["seq", "item_id", "part"], "size", 512)
+    return packed.join(each.select("item_id", "part", "own"), ["item_id", "part"]).groupBy("granularity", "crate", "chunk").agg(F.count(F.lit(1)).alias("n_items"), F.sum("own").alias("n_tokens"))
+
+
 @query("""with recursive f0 as (select crate, file_id, min(seq) seq, max(length(code)) // 4 t from src_file where code is not null group by 1, 2),
         o as (select *, row_number() over (partition by crate order by t desc, seq, file_id) k from f0 where t < 2000),
         f as (select crate, k, file_id, t, 0 as chunk, t as total from o where k = 1

@@ -5,9 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tessella.functions import paths as P
+from tessella.functions import text as T
 from tessella.functions.text import lines_between
 from tessella.operators import extract, graph, mining, render, rust_facts
 from tessella.plans.relational_queries import _SCORED
+from tessella.plans.rust_queries import ENUMS, FACT_COUNTS
+from tessella.plans.text_queries import _LANG, _STRIP
 from tessella.spark_util import cut, table
 
 QUERIES: dict = {}
@@ -67,7 +70,7 @@ def P1_serde(s, d):
     return mining.derive_sets(rust_facts.types(rust_facts.read(_once(s, d))[2]))
 
 
-@query()
+@query(ENUMS + """ union all select 'table', file_id, regexp_extract(code, '\\{\\s*(\\w+)', 1), code from (select file_id, unnest(regexp_extract_all(code, 'table_def!\\s*\\{[\\s\\S]*?\\}')) as code from (select file_id, max(code) code from src_file where code is not null group by 1))""")
 def P2_schema_tables(s, d):
     """Table macros and attributed enums, by file."""
     files = _once(s, d)
@@ -81,7 +84,7 @@ def P3_macros(s, d):
     return mining.frequent_macros(rust_facts.macros(*rust_facts.read(_once(s, d))[:2]))
 
 
-@query()
+@query(FACT_COUNTS)
 def P12_repository_analysis(s, d):
     """All facts from one parse, written once, as counts per crate."""
     return mining.crate_analysis(_once(s, d))
@@ -209,10 +212,32 @@ def T16_item_comment(s, d):
     return render.item_comments(_once(s, d))
 
 
-@query()
-def T17_doc_code_tags(s, d):
+def _documentation(s, d, layout):
     chunks = table(s, d, "doc_chunk").groupBy("chunk_id").agg(F.max("content").alias("content"), F.max("source_references").alias("source_references"))
-    return render.documentation_tags(chunks, graph.snippets(chunks.select("chunk_id", "source_references"), table(s, d, "src_file")))
+    return render.documentation_tags(chunks, graph.snippets(chunks.select("chunk_id", "source_references"), table(s, d, "src_file")), layout)
+
+
+_TAGS = rf"""with c as (select chunk_id, max(content) t, max(source_references) refs from doc_chunk group by 1), r as (select chunk_id, unnest(refs) r from c), f as (select file_path, max(code) code from src_file where code is not null group by 1),
+    j as (select distinct chunk_id, f.file_path, r.start_line s, array_to_string(regexp_extract_all(code, '[^\n]*\n|[^\n]+$')[greatest(r.start_line, 1):least(r.end_line, len(regexp_extract_all(code, '[^\n]*\n|[^\n]+$')))], '') x from r join f on r.file_path = f.file_path),
+    e as (select *, regexp_extract(file_path, '[^/]\.([^./]+)$', 1) ext from j where x <> ''),
+    g as (select chunk_id, list('<code language="' || case ext when '' then 'text' {_LANG} else ext end || '" source="' || file_path || '">' || chr(10) || x || chr(10) || '</code>' order by file_path, s, x) l from e group by 1),
+    p as (select chunk_id, t, {_STRIP(f"regexp_replace(regexp_replace(t, '{T.ANY_FENCE}', '', 'g'), '\n{{3,}}', chr(10) || chr(10), 'g')")} prose, list_transform(list_filter(list_transform(list_zip(regexp_extract_all(t, '{T.FENCE}', 1), regexp_extract_all(t, '{T.FENCE}', 2)), lambda b: [coalesce(nullif(b[1], ''), 'text'), {_STRIP("b[2]")}]), lambda b: b[2] <> ''), lambda b: '<code language="' || b[1] || '">' || chr(10) || b[2] || chr(10) || '</code>') inl from c),
+    q as (select chunk_id, case when prose <> '' then ['<doc>' || chr(10) || prose || chr(10) || '</doc>'] else [] end d, list_concat(coalesce(inl, []), coalesce(l, [])) c from p left join g using (chunk_id))"""
+
+
+@query(f"{_TAGS} select chunk_id, array_to_string(list_concat(d, c), chr(10) || chr(10)) as text, 'documentation' as source from q")
+def T17_doc_code_tags(s, d):
+    return _documentation(s, d, "interleaved").drop("part")
+
+
+@query(f"{_TAGS} select chunk_id, 0 as part, d[1] as text, 'documentation' as source from q where len(d) > 0 union all select chunk_id, 1, array_to_string(c, chr(10) || chr(10)), 'documentation' from q where len(c) > 0")
+def T17_separate(s, d):
+    return _documentation(s, d, "separate")
+
+
+@query(f"{_TAGS} select chunk_id, part, array_to_string(list_concat(d, [c[part + 1]]), chr(10) || chr(10)) as text, 'documentation' as source from (select *, unnest(range(len(c))) as part from q)")
+def T17_doc_code_pairs(s, d):
+    return _documentation(s, d, "pairs")
 
 
 @query(f"""select file_id, '<code language="rust" source="' || file_path || '">' || chr(10) || code || chr(10) || '</code>' as text, 'code' as source, file_path as id from {_SRC}""")

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from tessella.functions import paths as P
 from tessella.functions import text as T
 from tessella.operators import graph, mixing, stats
-from tessella.plans.text_queries import COMMON_CALLS, async_category
+from tessella.operators.graph import COMMON_CALLS
+from tessella.plans.text_queries import async_category
 from tessella.spark_util import latest_per_key, table
 
 QUERIES: dict = {}
@@ -55,11 +56,11 @@ _STOP = f"callee_name not in {COMMON_CALLS}"
 
 
 @query(f"""
-    with c as (select callee_name, count(*) n, min(caller_file_id * 100000 + caller_line) first_caller from {_CALL_ONCE} group by 1)
-    select file_id, start_line, name, coalesce(n, 0) as n_callers, first_caller from {_FN_ONCE} f left join c on c.callee_name = f.name""")
+    with c as (select callee_name, count(*) n, min(struct_pack(f := caller_file_id, l := caller_line)) m from {_CALL_ONCE} group by 1)
+    select file_id, start_line, name, coalesce(n, 0) as n_callers, m.f || ':' || m.l as first_caller from {_FN_ONCE} f left join c on c.callee_name = f.name""")
 def J2_snippet_callers(s, d):
-    callers = graph.calls_once(table(s, d, "fn_call")).groupBy(F.col("callee_name").alias("name")).agg(F.count(F.lit(1)).alias("n_callers"), F.min(F.col("caller_file_id") * 100000 + F.col("caller_line")).alias("first_caller"))
-    return graph.functions_once(table(s, d, "fn_info")).join(callers, "name", "left").select("file_id", "start_line", "name", F.coalesce("n_callers", F.lit(0)).alias("n_callers"), "first_caller")
+    callers = graph.calls_once(table(s, d, "fn_call")).groupBy(F.col("callee_name").alias("name")).agg(F.count(F.lit(1)).alias("n_callers"), F.min(F.struct("caller_file_id", "caller_line")).alias("_m"))
+    return graph.functions_once(table(s, d, "fn_info")).join(callers, "name", "left").select("file_id", "start_line", "name", F.coalesce("n_callers", F.lit(0)).alias("n_callers"), F.when(F.col("_m").isNotNull(), F.concat_ws(":", "_m.caller_file_id", "_m.caller_line")).alias("first_caller"))
 
 
 @query(f"""
@@ -174,13 +175,13 @@ def A4_moments(s, d):
 
 
 @query(f"""
-    with c as (select callee_name, count(*) n, min(caller_file_id * 100000 + caller_line) f from {_CALL_ONCE} group by 1), t as (select * from c order by n desc, f, callee_name limit 50),
+    with c as (select callee_name, count(*) n, min(struct_pack(f := caller_file_id, l := caller_line)) f from {_CALL_ONCE} group by 1), t as (select * from c order by n desc, f, callee_name limit 50),
          e as (select *, row_number() over (partition by callee_name order by caller_file_id, caller_line, call_line, call_kind) k from {_CALL_ONCE})
     select t.callee_name as value, t.n as n, string_agg(e.caller_file_id || ':' || e.caller_line || ':' || e.call_line, ' ' order by k) as examples from t join e using (callee_name) where k <= 10 group by 1, 2""")
 def A5_top_frequent(s, d):
     calls = graph.calls_once(table(s, d, "fn_call"))
     order = F.struct("caller_file_id", "caller_line", "call_line", "call_kind")
-    return stats.top_with_examples(calls, "callee_name", order, F.concat_ws(":", "caller_file_id", "caller_line", "call_line"), F.col("caller_file_id") * 100000 + F.col("caller_line"), 50, 10)
+    return stats.top_with_examples(calls, "callee_name", order, F.concat_ws(":", "caller_file_id", "caller_line", "call_line"), F.struct("caller_file_id", "caller_line"), 50, 10)
 
 
 @query("""select granularity, round(quantile_cont(tokens, 0.25), 6) as p25, round(quantile_cont(tokens, 0.5), 6) as p50, round(quantile_cont(tokens, 0.75), 6) as p75,

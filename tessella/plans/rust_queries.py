@@ -54,8 +54,12 @@ _METHODS = "(select file_id, op, array_to_string(list(name order by spot), ', ')
 _INSIDE = lambda name: f"list_transform(list_filter({_ATTRIBUTES}, lambda a: regexp_matches(a, '^#{_W}*\\[{_W}*{name}{_W}*\\(')), lambda a: trim(regexp_replace(regexp_extract(a, '\\(([\\s\\S]*)\\){_W}*\\]$', 1), '{_W}+', ' ', 'g')))"
 
 
+def _full(sql: str) -> str:
+    return _sql(sql, M=R.MARK, LITERAL=R.LITERAL, ATTRIBUTE=R.ATTRIBUTE, TOKEN=R.TOKEN, BETWEEN=R.BETWEEN, QUALIFIERS=R.QUALIFIERS, ANGLE=R._ANGLE, ROUND=R._ROUND, DOC=R.DOC, COMMENT=R._COMMENTS[1], WRITTEN=R.WRITTEN, CALL=R.CALL)
+
+
 def _query(sql: str):
-    full = _sql(sql, M=R.MARK, LITERAL=R.LITERAL, ATTRIBUTE=R.ATTRIBUTE, TOKEN=R.TOKEN, BETWEEN=R.BETWEEN, QUALIFIERS=R.QUALIFIERS, ANGLE=R._ANGLE, ROUND=R._ROUND, DOC=R.DOC, COMMENT=R._COMMENTS[1], WRITTEN=R.WRITTEN, CALL=R.CALL)
+    full = _full(sql)
 
     def register(f):
         def run(s, d):
@@ -87,11 +91,14 @@ def E3_functions(lex, ev, items):
     return R.functions(items).drop("open", "close")
 
 
-@_query(f"""{_ITEMS}, c0 as ({_PLACED.replace("@PATTERN", "@CALL")}), c1 as (select *, cast(coalesce(sum(n) over b, 0) as bigint) pos, cast(coalesce(sum(nl) over b, 0) as bigint) + 1 line, lag(x) over o prev
+_CALLS = f"""{_ITEMS}, c0 as ({_PLACED.replace("@PATTERN", "@CALL")}), c1 as (select *, cast(coalesce(sum(n) over b, 0) as bigint) pos, cast(coalesce(sum(nl) over b, 0) as bigint) + 1 line, lag(x) over o prev
         from c0 window o as (partition by file_id order by k), b as (partition by file_id order by k rows between unbounded preceding and 1 preceding)),
     c2 as (select file_id, pos, line, tok, regexp_extract(tok, '([A-Za-z_][A-Za-z0-9_]*){_W}*(?:::{_W}*@ANGLE{_W}*)?\\($', 1) callee, regexp_extract(tok, '^([\\s\\S]*?)(?:r#)?[A-Za-z_][A-Za-z0-9_]*{_W}*(?:::{_W}*@ANGLE{_W}*)?\\($', 1) lead_ from c1 where tok is not null and not regexp_matches(prev, '(?:^|[^A-Za-z0-9_])fn{_W}+$')),
     c3 as (select *, regexp_replace(regexp_replace(lead_, '{_W}', '', 'g'), '^\\.', '') path from c2 where callee not in {R.RESERVED}),
-    c4 as (select * from (select *, {_REACH} reach from (select * from c3 union all by name select * from spans)) where tok is not null and (reach is null or pos >= reach))
+    c4 as (select * from (select *, {_REACH} reach from (select * from c3 union all by name select * from spans)) where tok is not null and (reach is null or pos >= reach))"""
+
+
+@_query(f"""{_CALLS}
     select c4.file_id, i.name as caller_name, cast(i.line as bigint) as caller_line, callee as callee_name, case when path <> '' then path || callee end as qualified, case when starts_with(tok, '.') then 'method' when path <> '' then 'scoped' else 'direct' end as call_kind,
         cast(c4.line + length(lead_) - length(replace(lead_, chr(10), '')) as bigint) as call_line from c4 join item i on i.file_id = c4.file_id and i.kind = 'fn' and i.bt = '{{' and c4.pos > i.op and c4.pos < i.cl""")
 def E4_calls(lex, ev, items):
@@ -131,8 +138,21 @@ def E11_attributed_enums(lex, ev, items):
     return R.attributed_enums(items, "derive(")
 
 
-@_query(f"""{_EVENTS}, found as (select file_id, macro as name, case when starts_with(tok, 'macro_rules') then 'definition' else 'call' end kind, line, pos, opened.shut + 1 till from ev where macro is not null and opened.shut is not null),
-    top as (select * from (select *, {_REACH} reach from found) where reach is null or pos >= reach)
+_TOP = f"""found as (select file_id, macro as name, case when starts_with(tok, 'macro_rules') then 'definition' else 'call' end kind, line, pos, opened.shut + 1 till from ev where macro is not null and opened.shut is not null),
+    top as (select * from (select *, {_REACH} reach from found) where reach is null or pos >= reach)"""
+
+
+@_query(f"""{_EVENTS}, {_TOP}
     select file_id, name, kind, cast(line as bigint) as line, substr(code, pos + 1, till - pos) as code from top join lex using (file_id)""")
 def E12_macros(lex, ev, items):
     return R.macros(lex, ev).drop("from", "to")
+
+
+#: Enums with attributes, as the first part of a union.
+ENUMS = _full(f"{_ITEMS} select 'enum' as kind, file_id, name, own as code from item where kind = 'enum' and len({_ATTRIBUTES}) > 0")
+#: Counts of all facts by crate.
+FACT_COUNTS = _full(f"""{_CALLS}, {_TOP}, called as (select c4.file_id from c4 join item i on i.file_id = c4.file_id and i.kind = 'fn' and i.bt = '{{' and c4.pos > i.op and c4.pos < i.cl),
+    fact as (select file_id, case when kind in ('struct', 'enum', 'union') then 'type' else kind end as kind, visibility = 'pub' as pub from item where bt = '{{' or kind in ('use', 'struct') union all select file_id, 'macro', false from top union all select file_id, 'call', false from called),
+    rust as (select file_id, max(crate) crate from src_file where code is not null group by 1 having suffix(max(file_path), '.rs'))
+    select crate, count(distinct rust.file_id) as files, count(*) filter (kind = 'type') as types, count(*) filter (kind = 'trait') as traits, count(*) filter (kind = 'impl') as impls, count(*) filter (kind = 'use') as uses, count(*) filter (kind = 'macro') as macros,
+        count(*) filter (kind = 'call') as calls, count(*) filter (kind = 'fn') as functions, count(*) filter (kind = 'fn' and pub) as public_functions from rust left join fact using (file_id) group by 1""")

@@ -35,6 +35,22 @@ def S2_S3_tree_scan(s, d):
     return files.crates_and_src(table(s, d, "src_file"), "file_path").select("file_id", "file_path")
 
 
+@query("""select folder || '/' || name as path, n_chars, byte_size from (select regexp_replace(max(file_path), '/[^/]*$', '') folder, regexp_extract(max(file_path), '[^/]*$') as name, length(max(code)) n_chars, strlen(max(code)) byte_size from src_file where code <> '' and suffix(file_path, '.rs') group by file_path)""")
+def S2_rust_tree_round_trip(s, d):
+    """The Rust files written out as a tree of folders and scanned back."""
+    once = table(s, d, "src_file").where("code <> '' and endswith(file_path, '.rs')").groupBy("file_path").agg(F.max("code").alias("code"))
+    sinks.tree(once, "file_path", "code", path := _new(s))
+    return files.rust_tree(s, path).select("path", F.length("content").cast("long").alias("n_chars"), "byte_size")
+
+
+@query("select cast(chunk_id as varchar) as source_file, md5(max(content)) as digest from doc_chunk where content <> '' group by chunk_id")
+def S1_K10_markdown_round_trip(s, d):
+    """A Markdown file for each chunk, written and scanned back."""
+    once = table(s, d, "doc_chunk").where("content <> ''").groupBy("chunk_id").agg(F.max("content").alias("content"))
+    sinks.tree(once.select(F.concat("chunk_id", F.lit(".md")).alias("path"), "content"), "path", "content", path := _new(s))
+    return files.markdown(s, path).select("source_file", F.md5("content").alias("digest"))
+
+
 @query("""with f as (select distinct file_path from src_file), m as (select f.file_path, c.name, row_number() over (partition by f.file_path order by length(c.path) desc, c.name desc) k from f join crate_info c on starts_with(f.file_path, c.path || '/'))
     select f.file_path, m.name as owner from f left join m on m.file_path = f.file_path and k = 1""")
 def S4_crate_scoped_scan(s, d):

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tessella.functions import paths as P
 from tessella.functions import text as T
+from tessella.operators.graph import COMMON_CALLS
 from tessella.spark_util import table
 
 QUERIES: dict = {}
@@ -98,10 +99,13 @@ add("X16_lang_from_ext", "src_file", "file_id", lambda: {"language": P.language_
 add("X17_layer", "src_file", "file_id", lambda: {"layer": P.layer_of(F.col("crate"))}, "select file_id, case when contains(crate, 'gate') or contains(crate, 'wire') then 'api' when contains(crate, 'core') then 'domain' when contains(crate, 'vault') then 'database' else 'other' end as layer from src_file")
 
 
+#: What names of async functions hold, and the category that tells.
+ASYNC_CATEGORIES = (("find|get|fetch", "database_query"), ("insert|update|delete", "database_mutation"), ("call|request|connector", "connector_call"), ("redis", "redis_operation"))
+
+
 def async_category(name):
     """What an async function is for, by the first part that its name holds."""
-    low = lambda *marks: F.lower(name).rlike("|".join(marks))
-    return F.when(low("find", "get", "fetch"), "database_query").when(low("insert", "update", "delete"), "database_mutation").when(low("call", "request", "connector"), "connector_call").when(low("redis"), "redis_operation").otherwise("other_async")
+    return F.coalesce(*[F.when(F.lower(name).rlike(marks), category) for marks, category in ASYNC_CATEGORIES], F.lit("other_async"))
 
 
 add(
@@ -128,9 +132,8 @@ add("F8_min_section_len", "doc_chunk", "chunk_id", lambda: {"n_chars": F.length(
 add("F9_looks_like_markdown", "documents", "doc_id", lambda: {"is_markdown": T.looks_like_markdown("text")}, "select doc_id, " + " or ".join(f"regexp_matches(text, '(?m){s}')" for s in T.MARKDOWN_SIGNS) + " as is_markdown from documents")
 add("F10_name_contains", "fn_info", "file_id", lambda: {"start_line": F.col("start_line"), "name": F.col("name")}, "select file_id, start_line, name from fn_info where contains(lower(name), 'validate') or contains(lower(name), 'check')", lambda: F.lower("name").contains("validate") | F.lower("name").contains("check"))
 add("F11_type_contains", "fn_info", "file_id", lambda: {"start_line": F.col("start_line"), "return_type": F.col("return_type")}, "select file_id, start_line, return_type from fn_info where contains(return_type, 'Result')", lambda: F.col("return_type").contains("Result"))
-#: Conversion traits, and calls that say nothing about a program's structure.
+#: Conversion traits.
 CONVERSIONS = ("From", "Into", "TryFrom", "TryInto")
-COMMON_CALLS = ("Some", "None", "Ok", "Err", "println", "print", "format", "vec", "panic", "assert", "unwrap", "expect")
 _BARE = lambda: F.regexp_replace(F.col("impl_context.trait_name"), r"<[\s\S]*", "")
 add("F12_in_list", "fn_info", "file_id", lambda: {"start_line": F.col("start_line"), "trait": _BARE()}, f"select file_id, start_line, regexp_replace(impl_context.trait_name, '<[\\s\\S]*', '') as trait from fn_info where regexp_replace(impl_context.trait_name, '<[\\s\\S]*', '') in {CONVERSIONS}", lambda: _BARE().isin(*CONVERSIONS))
 add("F13_call_stoplist", "fn_call", "caller_file_id", lambda: {"caller_line": F.col("caller_line"), "callee_name": F.col("callee_name"), "call_line": F.col("call_line")}, f"select caller_file_id, caller_line, callee_name, call_line from fn_call where callee_name not in {COMMON_CALLS}", lambda: ~F.col("callee_name").isin(*COMMON_CALLS))

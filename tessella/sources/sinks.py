@@ -35,6 +35,29 @@ def named_texts(df: DataFrame, name: str, text: str, path: str) -> None:
     df.where(F.col(text).isNotNull()).select(slug(name).alias("name"), F.col(text).alias("value")).write.mode("overwrite").option("lineSep", "\n").partitionBy("name").text(path)
 
 
+def tree(df: DataFrame, path: str, text: str, root: str) -> None:
+    """A file for each row at its path below the root, in UTF-8, whichever file system that is; null texts are left out, a path given twice keeps one of its texts.
+
+    Spark's writers name files themselves, so the tasks write these through the
+    file system of the workers; the root must be a folder they share.
+    """
+
+    def write(rows) -> None:
+        from pyarrow import fs
+
+        system, base = fs.FileSystem.from_uri(root if "://" in root else f"file://{root}")
+        made: set[str] = set()
+        for name, content in rows:
+            target = f"{base}/{name}"
+            if (folder := target.rpartition("/")[0]) not in made:
+                system.create_dir(folder, recursive=True)
+                made.add(folder)
+            with system.open_output_stream(target) as out:
+                out.write(content.encode())
+
+    df.where(F.col(path).isNotNull() & F.col(text).isNotNull()).select(path, text).foreachPartition(write)
+
+
 def statistics(chunks: DataFrame, tokens: str, source: str) -> DataFrame:
     """One row: totals, moments and percentiles of tokens, shares of small, medium and large chunks."""
     t = F.col(tokens)

@@ -15,12 +15,14 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The shared folder the session names in spark.checkpoint.dir; a temporary one is set only where none is named (tests)."""
+    """The shared folder the session names in spark.checkpoint.dir; without one, a temporary folder in local mode (tests) and an error on a cluster."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
         current = spark.sparkContext._jsc.sc().getCheckpointDir()
         named = current.get() if current.isDefined() else None
     if not named:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         named = tempfile.mkdtemp(prefix="spark-checkpoint-")
         spark.sparkContext.setCheckpointDir(named)
     return named
