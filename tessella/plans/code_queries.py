@@ -9,7 +9,7 @@ from tessella.functions import text as T
 from tessella.functions.text import lines_between
 from tessella.operators import extract, graph, mining, render, rust_facts
 from tessella.plans.relational_queries import _SCORED
-from tessella.plans.rust_queries import ENUMS, FACT_COUNTS
+from tessella.plans.rust_queries import CRATE_CARDS, ENUMS, FACT_COUNTS, MACROS, MODULE_CARDS, TRAIT_CARDS
 from tessella.plans.text_queries import _LANG, _STRIP
 from tessella.spark_util import cut, table
 
@@ -79,7 +79,7 @@ def P2_schema_tables(s, d):
     return tables.unionByName(enums)
 
 
-@query()
+@query(MACROS)
 def P3_macros(s, d):
     return mining.frequent_macros(rust_facts.macros(*rust_facts.read(_once(s, d))[:2]))
 
@@ -143,7 +143,14 @@ def T5_ascii_tree(s, d):
     return render.call_trees(_functions(s, d), table(s, d, "fn_call"))
 
 
-@query()
+_FEW = lambda rows, total, most: f"{rows} || case when {total} > {most} then ', and ' || ({total} - {most}) || ' others' else '' end"
+
+
+@query(f"""with {_EDGES}, d as (select *, row_number() over (partition by caller_file_id, caller_line, call_kind order by call_line, callee_name) dk, count(*) over (partition by caller_file_id, caller_line, call_kind) dn from e),
+    dt as (select caller_file_id, caller_line, call_kind, {_FEW("string_agg(callee_name, ', ' order by dk) filter (dk <= 5)", "max(dn)", 5)} t from d group by 1, 2, 3), it as (select callee_name, {_FEW("string_agg(n, ', ' order by k) filter (k <= 3)", "max(c)", 3)} t from i group by 1)
+    select file_id, start_line, name, array_to_string(list_filter([name || ' is a ' || visibility || ' ' || case when is_async then 'async function' else 'function' end || case when ic and tn is not null then ' implementing ' || tn || ' for ' || ft when ic then ' defined in the implementation of ' || ft else '' end || '.',
+        'It ' || nullif(array_to_string(list_filter(['calls ' || a.t, 'invokes methods ' || b.t], lambda x: x is not null), ' and '), '') || '.', 'This function is called by ' || it.t || '.'], lambda x: x is not null), ' ') as sentence
+    from f left join dt a on a.caller_file_id = file_id and a.caller_line = start_line and a.call_kind = 'direct' left join dt b on b.caller_file_id = file_id and b.caller_line = start_line and b.call_kind = 'method' left join it on it.callee_name = name""")
 def T6_flow_sentence(s, d):
     return render.flow_sentences(_functions(s, d), table(s, d, "fn_call"))
 
@@ -155,7 +162,7 @@ def T7_crate_header(s, d):
     return render.crate_headers(table(s, d, "crate_info"))
 
 
-@query()
+@query(CRATE_CARDS)
 def T7_crate_card(s, d):
     return render.crate_cards(table(s, d, "crate_info"), _once(s, d))
 
@@ -166,12 +173,12 @@ def T8_repo_card(s, d):
     return render.repository_card(table(s, d, "crate_info"))
 
 
-@query()
+@query(MODULE_CARDS)
 def T9_module_card(s, d):
     return render.module_cards(_once(s, d))
 
 
-@query()
+@query(TRAIT_CARDS)
 def T10_trait_card(s, d):
     return render.trait_cards(_once(s, d))
 

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tessella.operators import extract
 from tessella.operators import rust_facts as R
+from tessella.plans.text_queries import _STRIP
 from tessella.spark_util import table
 
 QUERIES: dict = {}
@@ -156,3 +157,26 @@ FACT_COUNTS = _full(f"""{_CALLS}, {_TOP}, called as (select c4.file_id from c4 j
     rust as (select file_id, max(crate) crate from src_file where code is not null group by 1 having suffix(max(file_path), '.rs'))
     select crate, count(distinct rust.file_id) as files, count(*) filter (kind = 'type') as types, count(*) filter (kind = 'trait') as traits, count(*) filter (kind = 'impl') as impls, count(*) filter (kind = 'use') as uses, count(*) filter (kind = 'macro') as macros,
         count(*) filter (kind = 'call') as calls, count(*) filter (kind = 'fn') as functions, count(*) filter (kind = 'fn' and pub) as public_functions from rust left join fact using (file_id) group by 1""")
+#: The macros called most often, with their first calls.
+MACROS = _full(f"""{_EVENTS}, {_TOP}, c as (select distinct file_id, name, line from top where kind = 'call'), t as (select name, count(*) n, min(file_id) f from c group by 1 order by 2 desc, 3, 1 limit 50), r as (select *, row_number() over (partition by name order by file_id, line) k from c)
+    select t.name as value, t.n as n, string_agg(file_id || ':' || line, ' ' order by k) filter (k <= 10) as examples from t join r using (name) group by 1, 2""")
+_FILES = "files as (select file_id, max(crate) crate, max(module) module, min(seq) seq from src_file where code is not null group by 1)"
+_LINES = lambda *parts: f"array_to_string(list_filter([{', '.join(parts)}], lambda x: x is not null), chr(10))"
+_NAMES = lambda kind: f"(select crate, string_agg(name, ', ' order by name) l from (select *, row_number() over (partition by crate order by name) k from (select distinct crate, name from item join files using (file_id) where kind = '{kind}')) where k <= 20 group by 1)"
+#: Crate headers with the first public names.
+CRATE_CARDS = _full(f"""{_ITEMS}, {_FILES}, st as {_NAMES("struct")}, tr as {_NAMES("trait")}, e as (select distinct src, dst from (select name src, unnest(local_deps) dst from crate_info) where dst in (select name from crate_info)), rev as (select dst, string_agg(src, ', ' order by src) l from e group by 1)
+    select name as crate, {_LINES("'// CRATE: ' || name", "'// PURPOSE: ' || nullif(purpose, '')", "case when len(local_deps) > 0 then '// DEPENDS_ON: ' || array_to_string(local_deps, ', ') end", "'// DEPENDED_BY: ' || rev.l", "chr(10) || '## Public API'", "chr(10) || 'Structs: ' || st.l", "chr(10) || 'Traits: ' || tr.l")} as content
+    from crate_info left join rev on dst = name left join st on st.crate = name left join tr on tr.crate = name""")
+_FIRST = lambda kind: f"array_to_string(list(name order by line, name) filter (kind = '{kind}')[:20], ', ')"
+#: The first modules that have types.
+MODULE_CARDS = _full(f"""{_ITEMS}, {_FILES}, g as (select file_id, coalesce({_FIRST("struct")}, '') st, coalesce({_FIRST("enum")}, '') en, count(*) filter (kind = 'fn' and bt = '{{') n, count(*) filter (kind in ('struct', 'enum', 'union')) nt,
+        list('// ' || regexp_replace(own, '{_W}+', ' ', 'g') order by line, regexp_replace(own, '{_W}+', ' ', 'g')) filter (kind = 'use') u from item group by 1)
+    select seq, file_id, crate, module, {_LINES("'// MODULE: ' || coalesce(module, '')", "'// CRATE: ' || coalesce(crate, '')", "chr(10) || '// Structs: ' || st", "'// Enums: ' || en", "'// Functions: ' || n", "chr(10) || '// Imports:' || chr(10) || coalesce(array_to_string(u[:10], chr(10)), '')")} as content
+    from g join files using (file_id) where nt > 0 order by seq, file_id limit 100""")
+#: Traits with their first implementors and method stubs.
+TRAIT_CARDS = _full(f"""{_ITEMS}, {_FILES}, t0 as (select *, regexp_replace(replace(header, '->', '  '), '^trait (?:r#)?[A-Za-z0-9_]+ ?', '') rest from item where kind = 'trait' and bt = '{{'),
+    t1 as (select *, trim(regexp_extract(substr(rest, length(regexp_extract(rest, '^(@ANGLE)', 1)) + 1), '^ ?: ?([\\s\\S]*?)(?: where [\\s\\S]*)?$', 1)) supers, {_DOCS} doc from t0),
+    m as (select file_id, op, string_agg('    fn ' || name || '(...);', chr(10) order by spot) stubs from (select a.file_id, a.op, b.name, b.pos spot from t1 a join item b on b.file_id = a.file_id and b.kind = 'fn' and b.pos > a.op and b.pos < a.cl) group by 1, 2),
+    i as (select distinct regexp_extract(regexp_replace(trait_name, '<[\\s\\S]*', ''), '(\\w+)$', 1) as name, file_id, for_type from impl where trait_name is not null), k as (select *, row_number() over (partition by name order by file_id, for_type) k from i), ty as (select name, string_agg(for_type, ', ' order by k) l from k where k <= 10 group by 1)
+    select t1.file_id, cast(line as bigint) as line, t1.name as name, {_LINES("'// TRAIT: ' || t1.name", "'// CRATE: ' || coalesce(crate, '')", "'// MODULE: ' || coalesce(module, '')", "'// SUPER_TRAITS: ' || nullif(regexp_replace(supers, ' ?\\+ ?', ', ', 'g'), '')", "'// IMPLEMENTATIONS: ' || ty.l", f"chr(10) || nullif({_STRIP('doc')}, '')", "chr(10) || 'pub trait ' || t1.name || ' {'", "stubs", "'}'")} as content
+    from t1 join files using (file_id) left join m using (file_id, op) left join ty on ty.name = t1.name""")
