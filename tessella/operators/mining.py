@@ -74,16 +74,41 @@ def pattern_cards(files: DataFrame, functions: DataFrame) -> DataFrame:
 
 
 def file_cards(files: DataFrame, per_crate: int = 20) -> DataFrame:
-    """Whole files with what they contain: files with types, and the largest files of each crate between 1 000 and 100 000 bytes."""
+    """Whole files with what they contain: ``kind, file_id, content``.
+
+    Files with types; with table macros or attributed enums; with conversions (named);
+    and the largest files of each crate between 1 000 and 100 000 bytes.
+    """
     items = rust_facts.read(files)[2]
     n = lambda kind: F.count_if(F.expr(f"kind = '{kind}' and (kind = 'struct' or body = '{{')")).cast("string")
     head = F.concat(F.lit(f"// Repository: {render.REPOSITORY}\n// Crate: "), F.coalesce("crate", F.lit("")), F.lit("\n// File: "), "file_path")
     has = F.concat(F.lit("\n// Contains: "), n("struct"), F.lit(" structs, "), n("enum"), F.lit(" enums, "), n("fn"), F.lit(" functions, "), n("impl"), F.lit(" impls"))
-    typed = items.groupBy("file_id").agg(has.alias("_has"), F.count_if(F.expr("kind in ('struct', 'enum', 'union')")).alias("_n")).where("_n > 0").drop("_n")
-    cards = files.join(typed, "file_id").select(F.lit("types").alias("kind"), "file_id", F.concat(head, F.col("_has"), F.lit("\n\n"), "code", F.lit("\n")).alias("content"))
+    typed = items.groupBy("file_id").agg(has.alias("_has"), F.count_if(F.expr("kind in ('struct', 'enum', 'union')")).alias("_n")).where("_n > 0").select(F.lit("types").alias("kind"), "file_id", "_has")
+    tables = extract.schema_macros(files, "table_def").groupBy("file_id").agg(F.count(F.lit(1)).alias("_t")).join(rust_facts.types(items).where("kind = 'enum' and size(attributes) > 0").groupBy("file_id").agg(F.count(F.lit(1)).alias("_e")), "file_id", "full").fillna(0, ["_t", "_e"])
+    schemas = tables.select(F.lit("tables").alias("kind"), "file_id", F.concat(F.lit("\n// Contains: "), F.col("_t").cast("string"), F.lit(" tables, "), F.col("_e").cast("string"), F.lit(" attributed enums")).alias("_has"))
+    turned = rust_facts.impls(items).withColumn("_t", F.regexp_replace("trait_name", r"<[\s\S]*", "")).where(F.col("_t").isin("From", "Into", "TryFrom", "TryInto"))
+    listed = turned.groupBy("file_id").agg(F.concat(F.lit("\n// Conversions: "), F.array_join(F.transform(F.slice(F.sort_array(F.collect_list(F.struct("line", F.concat_ws(" for ", "trait_name", "for_type").alias("c")))), 1, EXAMPLES), lambda x: x["c"]), ", ")).alias("_has")).select(F.lit("conversions").alias("kind"), "file_id", "_has")
     sized = files.select("file_id", "crate", F.octet_length("code").alias("n")).where("n > 1000 and n < 100000")
-    largest = stats.top_k_per_group(sized, ["crate"], [F.desc("n"), F.asc("file_id")], per_crate).select("file_id")
-    return cards.unionByName(files.join(largest, "file_id", "left_semi").select(F.lit("large").alias("kind"), "file_id", F.concat(head, F.lit("\n\n"), "code", F.lit("\n")).alias("content")))
+    largest = stats.top_k_per_group(sized, ["crate"], [F.desc("n"), F.asc("file_id")], per_crate).select(F.lit("large").alias("kind"), "file_id", F.lit("").alias("_has"))
+    every = typed.unionByName(schemas).unionByName(listed).unionByName(largest)
+    return files.join(every, "file_id").select("kind", "file_id", F.concat(head, "_has", F.lit("\n\n"), "code", F.lit("\n")).alias("content"))
+
+
+def function_cards(functions: DataFrame, scores: DataFrame, category: Column, per_module: int = 10, shown: int = 5, per_category: int = 50) -> DataFrame:
+    """Cards of functions: ``kind, key, content``.
+
+    Of each module the ``per_module`` functions of the highest ``weighted`` score by name
+    and the first ``shown`` in full; and of each ``category`` the first ``per_category``
+    async functions. Modules of a null crate or module are one each; a null text counts as empty.
+    """
+    text = F.coalesce("full_text", F.lit(""))
+    rows = render.functions_once(functions).join(scores.select("file_id", "start_line", "name", "weighted").distinct(), ["file_id", "start_line", "name"])
+    best = stats.top_k_per_group(rows.select("crate", "module", "weighted", "file_id", "start_line", "name", text.alias("text")), ["crate", "module"], [F.desc("weighted"), *map(F.asc, ("file_id", "start_line", "name", "text"))], per_module)
+    gathered = best.groupBy("crate", "module").agg(F.sort_array(F.collect_list(F.struct("k", "name", F.when(F.col("k") <= shown, F.col("text")).alias("text")))).alias("x"))
+    head = F.concat(F.lit("// Crate: "), F.coalesce("crate", F.lit("")), F.lit("\n// Module: "), F.coalesce("module", F.lit("")), F.lit("\n// Top functions: "), F.array_join(F.transform("x", lambda x: x["name"]), ", "))
+    cards = gathered.select(F.lit("functions").alias("kind"), F.concat_ws("::", "crate", "module").alias("key"), F.concat(head, F.lit("\n\n"), F.array_join(F.transform(F.slice("x", 1, shown), lambda x: x["text"]), "\n\n")).alias("content"))
+    few = stats.top_k_per_group(rows.where("is_async").select(category.alias("category"), "file_id", "start_line", "name", text.alias("text")), ["category"], [F.asc("file_id"), F.asc("start_line"), F.asc("name"), F.asc("text")], per_category)
+    return cards.unionByName(few.select(F.lit("async").alias("kind"), F.concat_ws(":", "file_id", "start_line", "name").alias("key"), F.concat(F.lit("// Category: "), "category", F.lit("\n\n"), "text").alias("content")))
 
 
 def multi_level_cards(files: DataFrame) -> DataFrame:

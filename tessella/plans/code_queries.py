@@ -9,8 +9,8 @@ from tessella.functions import text as T
 from tessella.functions.text import lines_between
 from tessella.operators import extract, graph, mining, render, rust_facts
 from tessella.plans.relational_queries import _SCORED
-from tessella.plans.rust_queries import CRATE_CARDS, ENUMS, FACT_COUNTS, MACROS, MODULE_CARDS, TRAIT_CARDS
-from tessella.plans.text_queries import _LANG, _STRIP
+from tessella.plans.rust_queries import CRATE_CARDS, ENUMS, FACT_COUNTS, FILE_CARDS, MACROS, MODULE_CARDS, TRAIT_CARDS
+from tessella.plans.text_queries import _LANG, _STRIP, async_category
 from tessella.spark_util import cut, table
 
 QUERIES: dict = {}
@@ -258,11 +258,21 @@ def T19_pattern_cards(s, d):
     return mining.pattern_cards(files, table(s, d, "fn_info"))
 
 
-@query()
+@query(FILE_CARDS)
 def T20_file_cards(s, d):
     return mining.file_cards(_once(s, d))
 
 
+@query(f"""with r as (select f.*, coalesce(full_text, '') x, s.weighted from {_F} f join (select distinct file_id, start_line, name, weighted from ({_SCORED})) s using (file_id, start_line, name)),
+    b as (select *, row_number() over (partition by crate, module order by weighted desc, file_id, start_line, name, x) k from r), c as (select *, case when regexp_matches(lower(name), 'find|get|fetch') then 'database_query' when regexp_matches(lower(name), 'insert|update|delete') then 'database_mutation'
+        when regexp_matches(lower(name), 'call|request|connector') then 'connector_call' when contains(lower(name), 'redis') then 'redis_operation' else 'other_async' end category from r where is_async), d as (select *, row_number() over (partition by category order by file_id, start_line, name, x) k from c)
+    select 'functions' as kind, array_to_string(list_filter([crate, module], lambda v: v is not null), '::') as key, '// Crate: ' || coalesce(crate, '') || chr(10) || '// Module: ' || coalesce(module, '') || chr(10) || '// Top functions: ' || string_agg(name, ', ' order by k) || chr(10) || chr(10) || string_agg(x, chr(10) || chr(10) order by k) filter (k <= 5) as content
+    from b where k <= 10 group by crate, module union all select 'async', file_id || ':' || start_line || ':' || name, '// Category: ' || category || chr(10) || chr(10) || x from d where k <= 50""")
+def T20_function_cards(s, d):
+    functions = table(s, d, "fn_info")
+    return mining.function_cards(functions, graph.importance(functions, table(s, d, "fn_call")), async_category(F.col("name")))
+
+
 @query()
 def T21_multi_level_cards(s, d):
     return mining.multi_level_cards(_once(s, d))

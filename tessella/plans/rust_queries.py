@@ -180,3 +180,12 @@ TRAIT_CARDS = _full(f"""{_ITEMS}, {_FILES}, t0 as (select *, regexp_replace(repl
     i as (select distinct regexp_extract(regexp_replace(trait_name, '<[\\s\\S]*', ''), '(\\w+)$', 1) as name, file_id, for_type from impl where trait_name is not null), k as (select *, row_number() over (partition by name order by file_id, for_type) k from i), ty as (select name, string_agg(for_type, ', ' order by k) l from k where k <= 10 group by 1)
     select t1.file_id, cast(line as bigint) as line, t1.name as name, {_LINES("'// TRAIT: ' || t1.name", "'// CRATE: ' || coalesce(crate, '')", "'// MODULE: ' || coalesce(module, '')", "'// SUPER_TRAITS: ' || nullif(regexp_replace(supers, ' ?\\+ ?', ', ', 'g'), '')", "'// IMPLEMENTATIONS: ' || ty.l", f"chr(10) || nullif({_STRIP('doc')}, '')", "chr(10) || 'pub trait ' || t1.name || ' {'", "stubs", "'}'")} as content
     from t1 join files using (file_id) left join m using (file_id, op) left join ty on ty.name = t1.name""")
+_N = lambda kind: f"count(*) filter (kind = '{kind}' and (kind = 'struct' or bt = '{{{{'))".replace("{{", "{")
+#: Whole files with what they contain.
+FILE_CARDS = _full(f"""{_ITEMS}, whole as (select file_id, max(crate) crate, max(file_path) file_path, max(code) code from src_file where code is not null group by 1),
+    ty as (select 'types' as kind, file_id, chr(10) || '// Contains: ' || {_N("struct")} || ' structs, ' || {_N("enum")} || ' enums, ' || {_N("fn")} || ' functions, ' || {_N("impl")} || ' impls' has from item group by file_id having count(*) filter (kind in ('struct', 'enum', 'union')) > 0),
+    m as (select file_id, len(regexp_extract_all(code, 'table_def!\\s*\\{{[\\s\\S]*?\\}}')) t from whole), en as (select file_id, count(*) e from item where kind = 'enum' and len({_ATTRIBUTES}) > 0 group by 1),
+    ta as (select 'tables', file_id, chr(10) || '// Contains: ' || t || ' tables, ' || coalesce(e, 0) || ' attributed enums' from m left join en using (file_id) where t > 0 or e > 0),
+    cv as (select 'conversions', file_id, chr(10) || '// Conversions: ' || array_to_string(list(trait_name || ' for ' || for_type order by line, trait_name || ' for ' || for_type)[:10], ', ') from impl where regexp_replace(trait_name, '<[\\s\\S]*', '') in ('From', 'Into', 'TryFrom', 'TryInto') group by file_id),
+    la as (select 'large', file_id, '' from (select file_id, row_number() over (partition by crate order by strlen(code) desc, file_id) k from whole where strlen(code) > 1000 and strlen(code) < 100000) where k <= 20)
+    select kind, file_id, '// Repository: corpus' || chr(10) || '// Crate: ' || coalesce(crate, '') || chr(10) || '// File: ' || file_path || has || chr(10) || chr(10) || code || chr(10) as content from (select * from ty union all select * from ta union all select * from cv union all select * from la) join whole using (file_id)""")
