@@ -174,13 +174,13 @@ def test_latest_per_key(spark):
     assert sorted(tuple(r) for r in latest_per_key(df, ["k"], ["_row"], ["t"]).collect()) == [(1, "b"), (2, "c")]
 
 
-def test_import_join_both_ways(spark):
-    uses = spark.createDataFrame([("c", 1, "use brindle_core::x;\nuse other::brindle;"), ("d", 2, None)], "crate string, file_id long, code string")
-    deps = spark.createDataFrame([("m", "brindle_core"), ("m", "brindle"), ("n", "none")], "crate string, dep string")
-    want = sorted(tuple(r) for r in graph.importing_files(deps, uses).collect())
-    lines = uses.where("code is not null").select(F.col("crate").alias("using_crate"), "file_id", F.explode(F.split("code", "\n")).alias("u"))
-    by_words = graph._by_words(lines, deps.select("dep").distinct()).select("dep", "file_id").distinct().collect()
-    assert sorted({(w[1], w[3]) for w in want}) == sorted(tuple(r) for r in by_words)
+def test_imports_meet_names_by_equality(spark):
+    uses = spark.createDataFrame([("c", 1, "use brindle_core::x;\nuse other::brindle;"), ("d", 2, None), ("e", 3, "use a::{dle_c, q};\nuse b;"), ("e", 3, "use b;")], "crate string, file_id long, code string")
+    deps = spark.createDataFrame([("m", "brindle_core"), ("m", "brindle"), ("n", "none"), ("n", "dle_c"), ("n", "q"), ("n", None), ("n", "")], "crate string, dep string")
+    found = graph.importing_files(deps, uses)
+    assert sorted(tuple(r) for r in found.collect()) == [("m", "brindle", "c", 1), ("m", "brindle_core", "c", 1), ("n", "dle_c", "c", 1), ("n", "dle_c", "e", 3), ("n", "q", "e", 3)]
+    assert "NestedLoop" not in found._jdf.queryExecution().executedPlan().toString()
+    assert graph.importing_files(deps.limit(0), uses).count() == 0
 
 
 def test_scans(spark, tmp_path):

@@ -45,7 +45,7 @@ def test_flow_sentences(spark):
     said = {r.name: r.sentence for r in render.flow_sentences(context_of(spark), calls_of(spark)).collect()}
     assert said["alpha"] == "alpha is a pub function. It calls beta and invokes methods push."
     assert said["beta"] == "beta is a private async function implementing Show for T. This function is called by alpha, gamma."
-    assert said["gamma"].startswith("gamma is a private function defined in the implementation of T. It calls x00, x01, x02, x03, x04, and 5 others.")
+    assert said["gamma"].startswith("gamma is a private function defined in the implementation of T. It calls x00, x01, x02, x03, x04, and 7 others.")
 
 
 def test_graph_samples(spark):
