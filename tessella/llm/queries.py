@@ -26,6 +26,7 @@ def queries() -> dict:
         "p6_ids": lambda s, d: tokens.encode_documents(table(s, d, "documents"), "doc_id", "text"),
         "p7_mix": lambda s, d: mix.mix(table(s, d, "documents"), table(s, d, "mix_target"), mix.HELD),
         "p7_shares": lambda s, d: mix.mix_shares(table(s, d, "documents"), table(s, d, "mix_target"), mix.HELD),
+        "p7_whole_shares": lambda s, d: mix.mix_shares(table(s, d, "documents"), table(s, d, "mix_target"), mix.HELD),
         "p7_exact_mix": lambda s, d: mix.mix(table(s, d, "documents"), table(s, d, "mix_target")),
         "p7_exact_shares": lambda s, d: mix.mix_shares(table(s, d, "documents"), table(s, d, "mix_target")),
         "p8_pieces": lambda s, d: split.split_to_limit(table(s, d, "documents"), table(s, d, "size_limit")),
