@@ -105,12 +105,17 @@ def pack_in_order(items: DataFrame, group: list[str], order: list[str], tokens:
 
     def pack(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("_at", ignore_index=True)
-        sizes, limit = rows["_t"].to_numpy(np.int64), int(rows["_most"].iloc[0])
-        after, entering = _starts(sizes, limit)
-        starts = [entering(int(rows["_state"].iloc[0]))]
-        while starts[-1] < len(sizes):
-            starts.append(after(starts[-1]))
-        return rows.assign(chunk=rows["_last"].iloc[0] + np.searchsorted(starts, np.arange(len(sizes)), "right"), oversize=sizes > limit)
+        sizes, chunks = rows["_t"].to_numpy(np.int64), np.zeros(len(rows), np.int64)
+        owner = rows.groupby(group, sort=False, dropna=False).ngroup().to_numpy()
+        bounds = [0, *(np.flatnonzero(np.diff(owner)) + 1).tolist(), len(rows)]
+        states, lasts, limits = (rows[c].to_numpy() for c in ("_state", "_last", "_most"))
+        for a, b in zip(bounds, bounds[1:]):
+            after, entering = _starts(sizes[a:b], int(limits[a]))
+            starts = [entering(int(states[a]))]
+            while starts[-1] < b - a:
+                starts.append(after(starts[-1]))
+            chunks[a:b] = lasts[a] + np.searchsorted(starts, np.arange(b - a), "right")
+        return rows.assign(chunk=chunks, oversize=sizes > limits)
 
     # most groups lie within one block and need no entry
     several = placed.groupBy(*group).agg(F.min("_block").alias("_a"), F.max("_block").alias("_b")).where("_a <> _b").select(*group)
@@ -120,7 +125,7 @@ def pack_in_order(items: DataFrame, group: list[str], order: list[str], tokens:
     entries = told.groupBy(*group).applyInPandas(follow, f"_block long, _state long, _last long, {key}")
     started = placed.join(entries, same(placed, entries, [*group, "_block"]), "left").select(*[placed[n] for n in placed.columns], F.coalesce("_state", F.lit(CLOSED)).cast("long").alias("_state"), F.coalesce("_last", F.lit(-1)).cast("long").alias("_last"))
     ddl = ", ".join(f"`{n}` {t}" for n, t in started.dtypes) + ", chunk long, oversize boolean"
-    return started.groupBy(*group, "_block").applyInPandas(pack, ddl).withColumnRenamed("_t", "n_tokens").drop("_most", "_at", "_block", "_state", "_last")
+    return started.groupBy("_block").applyInPandas(pack, ddl).withColumnRenamed("_t", "n_tokens").drop("_most", "_at", "_block", "_state", "_last")
 
 
 def chunk_sizes(packed: DataFrame, group: list[str]) -> DataFrame:
