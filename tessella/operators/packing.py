@@ -118,12 +118,11 @@ def pack_in_order(items: DataFrame, group: list[str], order: list[str], tokens:
         return rows.assign(chunk=chunks, oversize=sizes > limits)
 
     # most groups lie within one block and need no entry
-    several = placed.groupBy(*group).agg(F.min("_block").alias("_a"), F.max("_block").alias("_b")).where("_a <> _b").select(*group)
-    same = lambda left, right, names: [left[n].eqNullSafe(right[n]) for n in names]
-    split = placed.join(several, same(placed, several, group), "left_semi")
+    several = placed.groupBy(*group).agg(F.min("_block").alias("_a"), F.max("_block").alias("_b")).where("_a <> _b").select(*[F.col(n).alias(f"_of_{n}") for n in group])
+    split = placed.join(several, [placed[n].eqNullSafe(several[f"_of_{n}"]) for n in group], "left_semi")
     told = split.groupBy(*group, "_block").applyInPandas(outcomes, f"_low long, _high long, _n long, _end long, _adds int, {key}, _block long")
     entries = told.groupBy(*group).applyInPandas(follow, f"_block long, _state long, _last long, {key}")
-    started = placed.join(entries, same(placed, entries, [*group, "_block"]), "left").select(*[placed[n] for n in placed.columns], F.coalesce("_state", F.lit(CLOSED)).cast("long").alias("_state"), F.coalesce("_last", F.lit(-1)).cast("long").alias("_last"))
+    started = placed.join(entries, [placed[n].eqNullSafe(entries[n]) for n in [*group, "_block"]], "left").select(*[placed[n] for n in placed.columns], F.coalesce("_state", F.lit(CLOSED)).cast("long").alias("_state"), F.coalesce("_last", F.lit(-1)).cast("long").alias("_last"))
     ddl = ", ".join(f"`{n}` {t}" for n, t in started.dtypes) + ", chunk long, oversize boolean"
     return started.groupBy("_block").applyInPandas(pack, ddl).withColumnRenamed("_t", "n_tokens").drop("_most", "_at", "_block", "_state", "_last")
 
