@@ -73,6 +73,14 @@ def test_facts(spark):
     assert rust_facts.attributed_enums(items, "derive(").count() == 0
 
 
+def test_attributes(spark):
+    code = '#[derive(Clone)]\n// #[no]\n/// Says.\n#[stored(storage_type = "te[x]t", of = [1])]\npub enum E { A }\n#[derive(Debug)]\nenum F { B }\nenum G {}\n#[derive(Clone)] struct H;'
+    _, _, items = rust_facts.read(spark.createDataFrame([(1, "a.rs", code)], "file_id long, file_path string, code string"))
+    found = rust_facts.attributed_enums(items, "derive(").orderBy("line").collect()
+    assert [(r["name"], r.line, r.attribute, r.storage_type) for r in found] == [("E", 5, "#[derive(Clone)]", "te[x]t"), ("F", 7, "#[derive(Debug)]", None)]
+    assert [(r["name"], r.derives, len(r.attributes)) for r in rust_facts.types(items).orderBy("line").collect()] == [("E", ["Clone"], 2), ("F", ["Debug"], 1), ("G", [], 0), ("H", ["Clone"], 1)]
+
+
 def test_patterns():
     code = "/// Doc.\n#[x]\npub fn one(a: u8) -> u8 {\n    if a > 0 { 1 } else { 2 }\n}\nstruct S;\npub struct T { a: u8 }\nimpl T {\n    fn m() {}\n    pub fn n() {}\n}\nimpl Clone for T {\n    fn clone() {}\n}\n"
     assert [f["code"] for f in R.functions(code)][0].endswith("}\n}")
